@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from weftline.llm import chat_format, chunk_bpe, telephony, url_reputation
+from weftline.llm import chat_format, chunk_bpe, mixture_pack, telephony, url_reputation
 from weftline.llm.common import table
 
 
@@ -24,5 +24,14 @@ def op9_chat_format(spark, sf_dir):
     return chat_format.format_chats(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chunk_bpe, op5_url_reputation, op6_telephony, op9_chat_format)}
+def pack_documents(docs, with_ids=False):
+    """Packing as the query and the pipeline do it."""
+    return mixture_pack.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256}, with_ids=with_ids)
+
+
+def op10_mixture_pack(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op2_chunk_bpe, op5_url_reputation, op6_telephony, op9_chat_format, op10_mixture_pack)}
 ORACLE = {"op5_url_reputation": url_reputation.ORACLE, "op9_chat_format": chat_format.ORACLE}
