@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from weftline.llm import chat_format, chunk_bpe, mixture_pack, telephony, url_reputation
+from weftline.llm import chat_format, chunk_bpe, mixture_pack, robust_quality, secret_scan, telephony, url_reputation
 from weftline.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op2_chunk_bpe(spark, sf_dir):
     return chunk_bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_secret_scan(spark, sf_dir):
+    return secret_scan.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_url_reputation(spark, sf_dir):
     return url_reputation.judge(table(spark, sf_dir, "pages", "page_id", "url"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
@@ -20,6 +24,10 @@ def op6_telephony(spark, sf_dir):
     return telephony.store_texts(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_robust_quality(spark, sf_dir):
+    return robust_quality.digests(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
 def op9_chat_format(spark, sf_dir):
     return chat_format.format_chats(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -33,5 +41,5 @@ def op10_mixture_pack(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chunk_bpe, op5_url_reputation, op6_telephony, op9_chat_format, op10_mixture_pack)}
-ORACLE = {"op5_url_reputation": url_reputation.ORACLE, "op9_chat_format": chat_format.ORACLE}
+QUERIES = {f.__name__: f for f in (op2_chunk_bpe, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op9_chat_format, op10_mixture_pack)}
+ORACLE = {"op5_url_reputation": url_reputation.ORACLE, "op7_robust_quality": robust_quality.ORACLE, "op9_chat_format": chat_format.ORACLE}
