@@ -96,7 +96,8 @@ def brute_force(texts, learn=True):
         base = base_spans(t)
         more = []
         for m in re.finditer(secret_scan.CANDIDATE, t or "") if any(total) else ():
-            score = sum(ratio(sym(x), sym(y)) for x, y in zip(m[0], m[0][1:], strict=False))
+            low = m[0].lower() if re.fullmatch("[A-Z_+/=-]*", m[0]) else m[0]
+            score = sum(ratio(sym(x), sym(y)) for x, y in zip(low, low[1:], strict=False))
             clear = not any(a < m.end() and m.start() < b for a, _, b, _ in base)
             if clear and score >= secret_scan.LEAST_TOTAL and score >= secret_scan.LEAST_MEAN * (len(m[0]) - 1):
                 more.append((m.start(), 3, m.end(), m[0]))

@@ -100,7 +100,8 @@ def train(found: DataFrame, learn_docs: int = LEARN_DOCS) -> list[int] | None:
 
 
 def _scored(token: Column, table: list[int]) -> Column:
-    """Sum of the table over the token's transitions."""
+    """Sum of the table over the token's transitions; a token all in capitals is read as small letters."""
+    token = F.when(token.rlike("^[A-Z_+/=-]*$"), F.lower(token)).otherwise(token)
     llr = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
     at = lambda p: F.instr(F.lit(SYMBOLS), F.substring(token, p, F.lit(1)))
     return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0), lambda acc, p: acc + F.get(llr, at(p) * 64 + at(p + 1)))
