@@ -17,6 +17,6 @@ TEXTS = [
 def docs(spark, texts=TEXTS, extra=True):
     """Rows with these texts, null keys, a repeated row, and columns whose names clash with results."""
     rows = [(i, t, None if i % 5 == 0 else "en", None if i % 7 == 0 else f"s{i % 3}", len(t or ""), "x", 1.5) for i, t in enumerate(texts)]
-    rows += [rows[5], (None, "no id at all", "en", "s1", 12, "x", 1.0)]
+    rows += [rows[min(5, len(rows) - 1)], (None, "no id at all", "en", "s1", 12, "x", 1.0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_tokens string, score double")
     return df if extra else df.drop("n_tokens", "score")

@@ -53,3 +53,25 @@ def ascii_lower(c: Column) -> Column:
 
 def text_of(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """edges: a, b. Connected components as node, root (the least node), one row for each node that has an edge.
+
+    Labels run to the least along edges and along labels (pointer jumping), until a round changes nothing; each round is a
+    table in the shared folder. Nothing is collected but the number of changes."""
+    spark, old = edges.sparkSession, []
+    both = written(edges.unionAll(edges.select("b", "a")).filter("a <> b").distinct().toDF("a", "b"), "edges")
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels", old)
+    while True:
+        near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
+        over = labels.select(F.col("node").alias("r"), F.col("root").alias("over"))
+        moved = labels.join(near, labels.node == near.a, "left").join(over, labels.root == over.r, "left")
+        best = F.least("root", "near", "over")  # nulls are passed over
+        done: list[str] = []
+        new = written(moved.select("node", best.alias("root"), (best < F.col("root")).alias("moved")), "labels", done)
+        changed = new.filter("moved").limit(1).count()
+        drop_written(spark, old)
+        labels, old = new.select("node", "root"), done
+        if not changed:
+            return labels

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from weftline.llm import chat_format, chunk_bpe, mixture_pack, robust_quality, secret_scan, telephony, url_reputation
+from weftline.llm import chat_format, chunk_bpe, line_dedup, mixture_pack, ngram_join, robust_quality, secret_scan, telephony, url_reputation
 from weftline.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op2_chunk_bpe(spark, sf_dir):
     return chunk_bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_secret_scan(spark, sf_dir):
     return secret_scan.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -28,6 +32,10 @@ def op7_robust_quality(spark, sf_dir):
     return robust_quality.digests(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op8_ngram_join(spark, sf_dir):
+    return ngram_join.link(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_chat_format(spark, sf_dir):
     return chat_format.format_chats(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -41,5 +49,5 @@ def op10_mixture_pack(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chunk_bpe, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op9_chat_format, op10_mixture_pack)}
-ORACLE = {"op5_url_reputation": url_reputation.ORACLE, "op7_robust_quality": robust_quality.ORACLE, "op9_chat_format": chat_format.ORACLE}
+QUERIES = {f.__name__: f for f in (op2_chunk_bpe, op3_line_dedup, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op8_ngram_join, op9_chat_format, op10_mixture_pack)}
+ORACLE = {"op3_line_dedup": line_dedup.ORACLE, "op5_url_reputation": url_reputation.ORACLE, "op7_robust_quality": robust_quality.ORACLE, "op9_chat_format": chat_format.ORACLE}
