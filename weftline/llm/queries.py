@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from weftline.llm import chat_format, chunk_bpe, line_dedup, mixture_pack, ngram_join, robust_quality, secret_scan, telephony, url_reputation
+from weftline.llm import chat_format, chunk_bpe, hpy_lm, line_dedup, mixture_pack, ngram_join, robust_quality, secret_scan, telephony, url_reputation
 from weftline.llm.common import table
 
 
+def op1_hpy_lm(spark, sf_dir):
+    return hpy_lm.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op2_chunk_bpe(spark, sf_dir):
     return chunk_bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -49,5 +53,5 @@ def op10_mixture_pack(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chunk_bpe, op3_line_dedup, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op8_ngram_join, op9_chat_format, op10_mixture_pack)}
+QUERIES = {f.__name__: f for f in (op1_hpy_lm, op2_chunk_bpe, op3_line_dedup, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op8_ngram_join, op9_chat_format, op10_mixture_pack)}
 ORACLE = {"op3_line_dedup": line_dedup.ORACLE, "op5_url_reputation": url_reputation.ORACLE, "op7_robust_quality": robust_quality.ORACLE, "op9_chat_format": chat_format.ORACLE}

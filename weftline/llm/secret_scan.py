@@ -135,7 +135,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame) -> DataFrame:
-    """All rows of docs; each secret of the text (what spans cover, as one where they overlap) reads MASK, all else as it was."""
+    """All rows of docs; each secret of the text (what spans cover, as one where they overlap) reads MASK, n_chars follows, all else as it was."""
     packed = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("whole_row"))
     found = scan(packed, "whole_row")
     text = F.col("whole_row")["text"]
@@ -147,4 +147,7 @@ def masked(docs: DataFrame) -> DataFrame:
     done = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
     clean = F.transform(F.array(done), lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))[0]
     new = F.when(F.size("spans") > 0, clean).otherwise(text)
-    return found.select(*[new.alias(c) if c == "text" else F.col("whole_row")[c].alias(c) for c in docs.columns])
+    found = found.select("whole_row", "spans", new.alias("new_text"))
+    size = F.when(F.size("spans") > 0, F.length("new_text")).otherwise(F.col("whole_row")["n_chars"]) if "n_chars" in docs.columns else None
+    changed = {"text": F.col("new_text"), "n_chars": size}
+    return found.select(*[(changed[c] if c in changed else F.col("whole_row")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
