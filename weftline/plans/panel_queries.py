@@ -206,7 +206,7 @@ def factor_return_one(spark, sf_dir):
 def factor_returns_full(spark, sf_dir):
     e = crosssec.standardize(_exposures(spark, sf_dir), ["size", "value", "volume"], ["date"])
     d = e.join(regress.forward_return(panel(spark, sf_dir, "month")), ["date", "code"])
-    return regress.factor_returns(d, "forward", ["value", "volume"], ["size"], "grp_name") if "grp_name" in d.columns else regress.factor_returns(d.withColumn("ind", F.col("grp").cast("string")), "forward", ["value", "volume"], ["size"], "ind", 1e-6)
+    return regress.factor_returns(d.withColumn("ind", F.col("grp").cast("string")), "forward", ["value", "volume"], ["size"], "ind", 1e-6)
 
 
 @query()
@@ -259,6 +259,15 @@ def benchmark_neutral_lp(spark, sf_dir):
     return portfolio.benchmark_neutral(d, ["size"], "ind")
 
 
+@query()
+def daily_run(spark, sf_dir):
+    """The whole run, all dates at once: exposures, residuals, factor returns, alphas, weights, orders."""
+    from weftline.plans.daily import run
+
+    p = panel(spark, sf_dir, "month").withColumn("industry", (F.col("code") % 5).cast("string"))
+    return run(p, {"f14": X.delta(X.var("close"), 5), "f31": 100 * (X.var("close") / X.mean(X.var("close"), 12) - 1), "f2": X.rank(X.var("volume"))}, lookback=12).orders
+
+
 @query()
 def price_styles(spark, sf_dir):
     return styles.price_styles(panel(spark, sf_dir, "dense"))

@@ -12,8 +12,8 @@ from weftline.sources.panel import panel, panel_sql
 
 
 def shown(x: str) -> str:
-    x = f"({x})"
     """Few digits, coarser for large values: the engines add in different orders."""
+    x = f"({x})"
     return (f"CASE WHEN abs({x}) < 1e4 THEN floor({x} * 1e3 + 0.5000003) / 1e3 WHEN abs({x}) < 1e8 THEN floor({x} / 10 + 0.5) * 10 "
             f"ELSE (CASE WHEN {x} > 0 THEN 1 ELSE -1 END) * (1e8 + floor(ln(abs({x})) * 100 + 0.5)) END")
 
