@@ -61,7 +61,9 @@ def components(edges: DataFrame) -> DataFrame:
     Labels run to the least along edges and along labels (pointer jumping), until a round changes nothing; each round is a
     table in the shared folder. Nothing is collected but the number of changes."""
     spark, old = edges.sparkSession, []
-    both = written(edges.unionAll(edges.select("b", "a")).filter("a <> b").distinct().toDF("a", "b"), "edges")
+    edges = written(edges.select("a", "b").filter("a <> b").distinct(), "edges")  # read twice below
+    both = written(edges.unionAll(edges.select("b", "a")).distinct(), "both")
+    old.clear()  # of the tables below, those that no later round reads are deleted
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels", old)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))

@@ -75,7 +75,7 @@ def band_hashes(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
     out = np.zeros((bands, len(sets)), dtype=np.uint64)
     for k, f in enumerate(factors):
         low = np.minimum.reduceat(flat * f, starts)
-        out[k // rows] = grid.mixed(out[k // rows] * np.uint64(0x9E3779B97F4A7C15) + low)
+        out[k // rows] = grid.mixed(out[k // rows] * np.uint64(0x9E3779B97F4A7C15) + low + np.uint64(k // rows))
     return out.T.astype(np.int64)
 
 
@@ -127,15 +127,15 @@ def _verify(threshold: float):
         a, b = int(group.pa.iloc[0]), int(group.pb.iloc[0])
         group = group.assign(grams=gram_sets([x.encode() for x in group.text]))
         group = group[[node_of(s) == k for s, k in zip(group.grams, group.node, strict=True)]]  # another row may have the same doc_id
-        group = group.drop_duplicates("node").sort_values("node")
+        group = group.drop_duplicates("id").sort_values("id")
         left, right = group[group.block == a], group[group.block == b]
         if not len(left) or not len(right):
-            return pd.DataFrame({"node": [], "root": [], "links": []})
+            return pd.DataFrame({"id": [], "root": [], "links": []})
         same = _compare(list(left.grams), list(right.grams), threshold)
         if a == b:
             np.fill_diagonal(same, False)
         links = [same @ right.copies.to_numpy()] + ([same.T @ left.copies.to_numpy()] if a != b else [])
-        names = list(left.node) + (list(right.node) if a != b else [])
+        names = list(left.id) + (list(right.id) if a != b else [])
         size = len(names)
         full = same if a == b else np.block([[np.zeros((len(left),) * 2, bool), same], [same.T, np.zeros((len(right),) * 2, bool)]])
         label = np.arange(size)
@@ -146,7 +146,7 @@ def _verify(threshold: float):
             if (new == label).all():
                 break
             label = new
-        return pd.DataFrame({"node": names, "root": [names[k] for k in label], "links": np.concatenate(links).astype("int64")})
+        return pd.DataFrame({"id": names, "root": [names[k] for k in label], "links": np.concatenate(links).astype("int64")})
 
     return run
 
@@ -156,27 +156,29 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     bands, rows = choose_bands(threshold, recall)
     own = written(signatures(docs, bands, rows), "signatures")
     nodes = written(
-        own.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")),
+        own.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "nodes",
-    )
-    keys = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    shared = keys.groupBy("band", "hash").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most").drop("most")
-    stars = keys.join(shared, ["band", "hash"]).filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
-    groups = components(stars)
-    members = written(groups.withColumnRenamed("root", "grp").join(nodes.drop("bands"), "node"), "members")
+    )
+    # The same joins at every size: merge joins, whose hot keys Spark can split.
+    keys = nodes.select("id", F.explode("bands").alias("hash"))
+    shared = keys.groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least <> most").drop("most")
+    stars = keys.hint("merge").join(shared, "hash").filter("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    groups = components(stars).toDF("id", "grp")
+    members = written(groups.join(nodes.drop("bands"), "id"), "members")
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams"))
     blocks = F.ceil(F.greatest(F.col("k") / block_nodes, F.col("grams") / block_grams)).cast("int")
-    dealt = members.join(sizes.select("grp", blocks.alias("blocks")), "grp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = members.join(sizes.select("grp", blocks.alias("blocks")), "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long").alias("first"), F.coalesce("text", F.lit("")).alias("text"))
     # A group of one node with a null doc_id only has no text to be found by; it is its own class.
-    dealt = dealt.join(texts, "first").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("grp", F.least("block", "other").alias("pa"), F.greatest("block", "other").alias("pb"), "block", "node", "copies", "text")
-    checked = written(dealt.groupBy("grp", "pa", "pb").applyInPandas(_verify(threshold), "node binary, root binary, links long"), "checked")
-    links = checked.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    joined = nodes.select("node", "first", "copies").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    dealt = dealt.hint("merge").join(texts, "first").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("grp", F.least("block", "other").alias("pa"), F.greatest("block", "other").alias("pb"), "block", "id", "node", "copies", "text")
+    checked = written(dealt.groupBy("grp", "pa", "pb").applyInPandas(_verify(threshold), "id long, root long, links long"), "checked")
+    links = checked.groupBy("id").agg(F.sum("links").alias("links"))
+    classes = components(checked.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "id")
+    joined = nodes.select("id", "node", "first", "copies").join(classes, "id", "left").withColumn("root", F.coalesce("root", "id"))
     heads = joined.groupBy("root").agg(F.min("first").alias("class_id"))
-    info = written(joined.join(heads, "root").join(links, "node", "left").select("node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+    info = written(joined.join(heads, "root").join(links, "id", "left").select("node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
     out = own.select("doc_id", "node").join(info, "node", "left")
     alone = F.col("node").isNull()
     return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
