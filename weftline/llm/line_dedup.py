@@ -3,7 +3,7 @@
 Lines of at least MIN_WORDS words are compared; a line is dropped when an earlier one (by doc_id, then place) is equal or
 within one edit of a character (insertion, deletion or substitution). Equal lines meet on a hash. Of the lines that are left,
 those that share a half with another line of a fitting length can have a neighbour at all (an edit leaves one half as it
-was), and only these emit their deletion neighbourhood as hashed keys: the line itself, the line less each character, and
+was); of these, those that share all but one of PARTS parts; and only these emit their deletion neighbourhood as hashed keys: the line itself, the line less each character, and
 the line less each character together with the place. A line equal to another one less a character is one insertion away;
 lines equal but for the character at the same place are one substitution away; so the members of a key need no comparing
 among each other, only their earliest. The earliest partner of each line is then verified by its edit distance.
@@ -20,15 +20,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.llm import grid
-from weftline.llm.common import written
+from weftline.llm.common import drop_written, written
 
-MIN_WORDS, EDITS = 5, 1
+MIN_WORDS, EDITS, PARTS = 5, 1, 16
 _SPACE = " \t\n\x0b\x0c\r"
 #: Characters worked on at once.
 SLICE = 1 << 19
@@ -51,17 +52,23 @@ def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grid.mixed(codes + np.uint64(0x632BE59BD9B4E019)) | np.uint64(1), ends - [len(x) for x in lines], ends
 
 
-def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each line, and its four keys of halves: first and second half as of its own length, and as of one less."""
-    codes, starts, ends = _codes(lines)
-    size = ends - starts
-    keys = []
+def _part_keys(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, parts: int) -> np.ndarray:
+    """Keys of each line less one of its parts, with the parts as of its own length and as of one less: 2 * parts columns."""
+    size, keys = ends - starts, []
     for less in (0, 1):
-        half = (size - less) // 2
-        tag = (size - less).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        keys.append(grid.mixed(grid.spans(codes, starts, starts + half) + tag))
-        keys.append(grid.mixed(grid.spans(codes, ends - (size - less - half), ends) + tag + np.uint64(1)))
-    return grid.spans(codes, starts, ends), np.stack(keys, axis=1)
+        n = size - less
+        tag = n.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        for k in range(parts):
+            before, after = n * k // parts, n - n * (k + 1) // parts
+            both = grid.spans(codes, starts, starts + before) * np.uint64(0x9E3779B97F4A7C15) + grid.spans(codes, ends - after, ends)
+            keys.append(grid.mixed(both + tag + np.uint64(k)))
+    return np.stack(keys, axis=1)
+
+
+def line_keys(lines: list[str], parts: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each line, and its keys less a part."""
+    codes, starts, ends = _codes(lines)
+    return grid.spans(codes, starts, ends), _part_keys(codes, starts, ends, parts)
 
 
 def neighbourhood(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,27 +111,67 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "th", "text").mapInArrow(run, f"{_KEY}, hash long, halves array<long>")
 
 
-def _variants(marked: DataFrame) -> DataFrame:
-    """marked: doc_id, th, text, line_nos. A row for each variant of these lines: the line's key, kind, key, and on kind 0 the line."""
+def _squeezed(df: DataFrame) -> DataFrame:
+    """df with its column text compressed, as z: what is shuffled."""
+    names = [c for c in df.columns if c != "text"]
+    schema = T.StructType([df.schema[c] for c in names] + [T.StructField("z", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            text = b.column(b.schema.get_field_index("text")).cast(pa.binary())
+            packed = pa.array([None if x is None else z.compress(x) for x in text.to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in names], packed], names=[*names, "z"])
+
+    return df.mapInArrow(run, schema)
+
+
+def _marked(found: DataFrame) -> DataFrame:
+    """found: doc_id, th, z, line_nos. The texts of these lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdDecompressor()
+        for b in batches:
+            rows = []
+            for doc, th, packed, nos in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                want = set(nos)
+                rows += [(doc, th, no, line) for no, line in eligible(z.decompress(packed).decode()) if no in want]
+            if rows:
+                yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for n, c, t in zip(("doc_id", "th", "line_no", "line"), zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.string()), strict=True)})
+
+    return found.select("doc_id", "th", "z", "line_nos").mapInArrow(run, f"{_KEY}, line string")
+
+
+def _per_lines(lines: DataFrame, schema: str, make) -> DataFrame:
+    """lines: doc_id, th, line_no, line; make(lines) gives (index of the line, columns)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, th, text, nos in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                lines = [(no, line) for no, line in eligible(text) if no in set(nos)]
-                while lines:
-                    part, held = [], 0
-                    while lines and (not part or held + len(lines[0][1]) < SLICE):
-                        part.append(lines.pop(0))
-                        held += len(part[-1][1])
-                    owner, kind, key = neighbourhood([x for _, x in part])
-                    no = np.array([k for k, _ in part], dtype=np.int32)[owner]
-                    shown = pa.array([x for _, x in part] + [None] * (len(owner) - len(part)), pa.string())
-                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array([doc] * len(owner), pa.int64()), "th": pa.array([th] * len(owner), pa.int64()), "line_no": no, "kind": kind, "key": key.astype(np.int64), "line": shown})
-
-    return marked.select("doc_id", "th", "text", "line_nos").mapInArrow(run, f"{_KEY}, kind byte, key long, line string")
-
-
-def _place(prefix: str = "") -> "F.Column":
+            texts, low = b.column(3).to_pylist(), 0
+            while low < len(texts):
+                high, held = low, 0
+                while high < len(texts) and (high == low or held + len(texts[high]) < SLICE // 8):
+                    held += len(texts[high])
+                    high += 1
+                owner, more = make(texts[low:high])
+                at = pa.array(owner + low)
+                yield pa.RecordBatch.from_pydict({n: b.column(k).take(at) for k, n in enumerate(("doc_id", "th", "line_no"))} | more)
+                low = high
+
+    return lines.select("doc_id", "th", "line_no", "line").mapInArrow(run, f"{_KEY}, {schema}")
+
+
+def _fine_keys(lines: list[str]):
+    keys = line_keys(lines, PARTS)[1]
+    return np.repeat(np.arange(len(lines)), keys.shape[1]), {"key": keys.reshape(-1).astype(np.int64)}
+
+
+def _variants(lines: list[str]):
+    owner, kind, key = neighbourhood(lines)
+    return owner, {"kind": kind, "key": key.astype(np.int64)}
+
+
+def _place(prefix: str = "") -> Column:
     """Orders lines: doc_id (null last), place, text."""
     c = lambda x: F.col(prefix + x)
     return F.struct(c("doc_id").isNull().alias("late"), c("doc_id").alias("doc_id"), c("line_no").alias("line_no"), c("th").alias("th"))
@@ -132,24 +179,35 @@ def _place(prefix: str = "") -> "F.Column":
 
 def duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, th, line_no, near (false: equal), first (place of the earliest partner) of the lines to be dropped. docs: doc_id, th, text."""
-    lines = written(_lines(docs).withColumn("place", _place()), "lines")
-    heads = written(lines.groupBy("hash").agg(F.min(F.struct("place", "halves")).alias("m"), F.max("place").alias("last")).select("hash", "m.place", "m.halves", "last"), "heads")
-    repeated = heads.filter("last <> place").select("hash", F.col("place").alias("first"))
-    exact = lines.join(repeated, "hash").filter("place <> first").select("place", F.lit(False).alias("near"), "first")
+    old: list[str] = []
+    lines = written(_lines(docs), "lines", old).withColumn("place", _place())
+    heads = lines.groupBy("hash").agg(F.min("place").alias("place"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("n"))
+    heads = written(heads, "heads", old)
+    repeated = heads.filter("n > 1").select("hash", F.col("place").alias("first"))
+    exact = lines.select("hash", "place").hint("merge").join(repeated, "hash").filter("place <> first").select("place", F.lit(False).alias("near"), "first")
+    exact = written(exact, "exact")
     # Distinct lines that share a half with another one.
     keys = heads.select("hash", F.explode("halves").alias("half"))
     met = keys.groupBy("half").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).filter("a <> b").select("half")
-    able = keys.join(met, "half").select("hash").distinct()
+    able = keys.hint("merge").join(met, "half").select("hash").distinct()
     chosen = heads.join(able, "hash").groupBy("place.doc_id", "place.th").agg(F.collect_set("place.line_no").alias("line_nos"))
-    found = docs.select("doc_id", "th", "text").dropDuplicates(["doc_id", "th"])
-    found = found.join(chosen.toDF("d", "t", "line_nos"), found.doc_id.eqNullSafe(F.col("d")) & (found.th == F.col("t")))
-    variants = written(_variants(found).withColumn("place", _place()), "variants")
+    chosen = written(chosen, "chosen").toDF("d", "t", "line_nos")
+    drop_written(docs.sparkSession, old)
+    texts = _squeezed(docs.select("doc_id", "th", "text"))
+    found = texts.hint("merge").join(chosen, texts.doc_id.eqNullSafe(chosen.d) & (texts.th == chosen.t))
+    marked = written(_marked(found).dropDuplicates(["doc_id", "th", "line_no"]), "marked")
+    # Of these, lines that share all but a small part.
+    fine = _per_lines(marked, "key long", _fine_keys).select("key", _place().alias("place"))
+    close = fine.groupBy("key").agg(F.min("place").alias("low"), F.max("place").alias("top")).filter("low <> top").select("key")
+    close = fine.join(close, "key").select("place").distinct()
+    marked = written(marked.withColumn("place", _place()).join(close, "place").select("doc_id", "th", "line_no", "line"), "close")
+    variants = written(_per_lines(marked, "kind byte, key long", _variants), "variants").withColumn("place", _place())
     first = lambda k: F.min(F.when(F.col("kind") == k, F.col("place")))
     best = variants.groupBy("key").agg(first(0).alias("m0"), first(1).alias("m1"), first(2).alias("m2"), F.max("place").alias("top"), F.min("place").alias("low"))
     best = best.filter("top <> low").drop("top", "low")
     partner = F.when(F.col("kind") == 0, F.col("m1")).when(F.col("kind") == 1, F.col("m0")).otherwise(F.col("m2"))
-    near = variants.drop("line").join(best, "key").withColumn("first", partner).filter("first < place").groupBy("place").agg(F.min("first").alias("first"))
-    shown = variants.filter("kind = 0").select("place", "line")
+    near = variants.join(best, "key").withColumn("first", partner).filter("first < place").groupBy("place").agg(F.min("first").alias("first"))
+    shown = marked.select(_place().alias("place"), "line")
     near = near.join(shown, "place").join(shown.toDF("first", "other"), "first").filter(F.levenshtein("line", "other", EDITS) >= 0)
     # All repeats of a line that is dropped as near are exact repeats already.
     near = near.select("place", F.lit(True).alias("near"), "first")
@@ -157,48 +215,60 @@ def duplicates(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """docs with text less the dropped lines, and n_lines, exact_lines, near_lines (arrays of places) appended as struct `dropped`."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
-    gone = duplicates(keyed).groupBy("doc_id", "th").agg(
+    """A row for each of docs: whole_row (its columns but text), exact_lines and near_lines (arrays of places), text (less these lines),
+    n_lines (before)."""
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    gone = duplicates(docs.select(F.col("doc_id").cast("long").alias("doc_id"), th.alias("th"), "text")).groupBy("doc_id", "th").agg(
         F.sort_array(F.collect_set(F.when(~F.col("near"), F.col("line_no")))).alias("exact_lines"), F.sort_array(F.collect_set(F.when(F.col("near"), F.col("line_no")))).alias("near_lines")
     )
     gone = gone.toDF("gone_doc", "gone_th", "exact_lines", "near_lines")
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole_row"), F.col("doc_id").cast("long").alias("gone_key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("gone_text"))
-    joined = whole.join(gone, whole.gone_key.eqNullSafe(gone.gone_doc) & (whole.gone_text == gone.gone_th), "left")
-    empty = F.array().cast("array<int>")
-    return joined.select("whole_row", F.coalesce("exact_lines", empty).alias("exact_lines"), F.coalesce("near_lines", empty).alias("near_lines"))
-
+    rest = F.struct(*[docs[c] for c in docs.columns if c != "text"])
+    whole = _squeezed(docs.select(rest.alias("whole_row"), F.col("doc_id").cast("long").alias("key_doc"), th.alias("key_th"), "text"))
+    joined = whole.hint("merge").join(gone, whole.key_doc.eqNullSafe(gone.gone_doc) & (whole.key_th == gone.gone_th), "left")
+    joined = joined.select("whole_row", "exact_lines", "near_lines", "z")
+    lists = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("exact_lines", "near_lines")]
+    schema = T.StructType([joined.schema["whole_row"], *lists, T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType())])
 
-def _without(text: pd.Series, exact: pd.Series, near: pd.Series) -> pd.Series:
-    out = []
-    for t, a, b in zip(text, exact, near, strict=True):
-        gone = {*a, *b}
-        out.append("\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone))
-    return pd.Series(out, dtype="object")
-
-
-def _cleaned(found: DataFrame) -> DataFrame:
-    """Only changed texts go through Python."""
-    some = (F.size("exact_lines") > 0) | (F.size("near_lines") > 0)
-    same = found.filter(~some).withColumn("text", F.col("whole_row")["text"])
-    return found.filter(some).withColumn("text", F.pandas_udf(_without, "string")(F.col("whole_row")["text"], "exact_lines", "near_lines")).unionByName(same)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdDecompressor()
+        for b in batches:
+            for low in range(0, b.num_rows, 500):
+                part = b.slice(low, 500)
+                texts, n = [], []
+                exact, near = ([x or [] for x in part.column(k).to_pylist()] for k in (1, 2))
+                for e, k, packed in zip(exact, near, part.column(3).to_pylist(), strict=True):
+                    text = None if packed is None else z.decompress(packed)
+                    n.append(0 if text is None else text.count(b"\n") + 1)
+                    if e or k:
+                        drop = {*e, *k}
+                        text = b"\n".join([x for i, x in enumerate(text.split(b"\n")) if i not in drop])
+                    texts.append(text)
+                ints = pa.list_(pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(exact, ints), pa.array(near, ints), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["whole_row", "exact_lines", "near_lines", "text", "n_lines"])
+
+    return joined.mapInArrow(run, schema)
 
 
 def kept(docs: DataFrame) -> DataFrame:
     """The rows of docs with what is left of their texts (n_chars follows, where there is such a column); rows all of whose text was dropped go."""
-    found = _cleaned(dedup(docs))
+    found = dedup(docs)
     changed = (F.size("exact_lines") > 0) | (F.size("near_lines") > 0)
     found = found.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    new = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text")).otherwise(F.col("whole_row")["n_chars"]) if "n_chars" in docs.columns else None}
-    return found.select(*[(new[c] if c in new else F.col("whole_row")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return F.col("text")
+        own = F.col("whole_row")[c]
+        return F.when(changed, F.length("text")).otherwise(own) if c == "n_chars" else own
+
+    return found.select(*[column(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, exact_lines, near_lines (comma-joined places of the dropped lines), text_sha256 of what is left."""
-    found = _cleaned(dedup(docs.select("doc_id", "text")))
-    text = F.coalesce("text", F.lit(""))
-    lines = F.when(F.col("whole_row")["text"].isNull(), 0).otherwise(F.size(F.split(F.col("whole_row")["text"], "\n", -1)))
-    return found.select(F.col("whole_row")["doc_id"].alias("doc_id"), lines.cast("long").alias("n_lines"), F.concat_ws(",", F.col("exact_lines").cast("array<string>")).alias("exact_lines"), F.concat_ws(",", F.col("near_lines").cast("array<string>")).alias("near_lines"), F.sha2(text, 256).alias("text_sha256"))
+    found = dedup(docs.select("doc_id", "text"))
+    shown = lambda c: F.concat_ws(",", F.col(c).cast("array<string>")).alias(c)
+    return found.select(F.col("whole_row")["doc_id"].alias("doc_id"), "n_lines", shown("exact_lines"), shown("near_lines"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
 ORACLE = r"""
