@@ -254,7 +254,7 @@ def orders_with_band(spark, sf_dir):
 
 @query()
 def benchmark_neutral_lp(spark, sf_dir):
-    e = crosssec.standardize(_exposures(spark, sf_dir), ["size", "value"], ["date"]).filter("date >= DATE '1998-01-01'")
+    e = crosssec.standardize(_exposures(spark, sf_dir), ["size", "value"], ["date"])
     d = e.select("date", "code", F.col("value").alias("alpha"), F.lit(1.0).alias("bench"), F.lit(0.0).alias("previous"), "size", F.col("grp").cast("string").alias("ind"))
     return portfolio.benchmark_neutral(d, ["size"], "ind")
 
