@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import codes
-from weftline.operators import crosssec, filters, portfolio, regress, store, styles
+from weftline.operators import crosssec, filters, portfolio, regress, store, styles, universe
 from weftline.plans import expr as X
 from weftline.plans.queries import expression_query, shown
 from weftline.sources import calendar as cal
@@ -309,3 +309,31 @@ def event_windows(spark, sf_dir):
 s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""")
 def event_sessions(spark, sf_dir):
     return daily.sessions(read(spark, sf_dir, "events")).select("user_id", "start", "n")
+
+
+_MEMBERS = "m AS (SELECT DISTINCT date_trunc('month', l_shipdate)::DATE AS date, l_suppkey AS code FROM lineitem WHERE month(l_shipdate) % 3 = 1)"
+
+
+@query(f"""WITH {_MEMBERS}, s AS (SELECT DISTINCT date AS anchor FROM m), d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders),
+a AS (SELECT d.date, s.anchor FROM d ASOF JOIN s ON d.date >= s.anchor) SELECT a.date, count(*) AS n, sum(code) AS codes FROM a JOIN m ON m.date = a.anchor WHERE a.date - a.anchor <= 60 GROUP BY 1""")
+def membership_anchor(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem").filter(F.month("l_shipdate") % 3 == 1)
+    m = li.select(F.to_date(F.date_trunc("month", "l_shipdate")).alias("date"), F.col("l_suppkey").alias("code")).distinct()
+    days = read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
+    return universe.anchored(days, m, 60).groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("code").alias("codes"))
+
+
+@query(with_panel("sparse", f""", f AS (SELECT *, date_trunc('month', date)::DATE AS month, min(date) OVER (PARTITION BY date_trunc('month', date)) AS d FROM panel),
+v AS (SELECT month, code, CASE WHEN sum(amount) OVER (PARTITION BY month) > 0 THEN coalesce(amount, 0) ELSE 1 END AS v FROM f WHERE date = d)
+SELECT month, code, {shown('1000 * v / sum(v) OVER (PARTITION BY month)')} AS weight FROM v"""))
+def index_weights_monthly(spark, sf_dir):
+    w = universe.month_weights(panel(spark, sf_dir, "sparse"), F.col("amount"), F.col("volume"))
+    return rounded(w.withColumn("weight", 1000 * F.col("weight")), "weight")
+
+
+@query("""WITH p AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, l_suppkey AS code FROM lineitem)
+SELECT date, code, (r_name = 'ASIA')::INT AS "IND_TPC_L1__ASIA", (r_name = 'EUROPE')::INT AS "IND_TPC_L1__EUROPE" FROM p JOIN supplier ON code = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def industry_dummies(spark, sf_dir):
+    names = industry_columns(spark, sf_dir).select("code", "industry", F.to_date(F.lit("1990-01-01")).alias("effective"))
+    days = read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("code")).distinct()
+    return universe.dummies(universe.industries(days, names, ["industry"]), ["ASIA", "EUROPE"], "TPC")
