@@ -93,6 +93,57 @@ def test_op3_rows(spark):
     assert line_dedup.report(twice.unionAll(twice)).count() == 2 * twice.count()
 
 
+def dropped_scaled(rows, per):
+    """Brute force: all equal lines, and near ones of five words or more within an edit for each per characters."""
+    lines = [((doc is None, doc or 0, k), (doc, k), x.strip(" \t\n\x0b\x0c\r")) for doc, text in rows for k, x in enumerate((text or "").split("\n"))]
+    lines = [(p, key, x, len([w for w in re.split(WS, x) if w]) >= 5) for p, key, x in lines if x]
+    out = {}
+    for place, key, x, long in lines:
+        earlier = [(y, far) for p, _, y, far in lines if p < place]
+        if any(x == y for y, _ in earlier):
+            out[key] = False
+        elif long and any(far and distance(x, y) <= max(1, min(len(x), len(y)) // per) for y, far in earlier if abs(len(x) - len(y)) <= len(x) // per + 1):
+            out[key] = True
+    return out
+
+
+def test_op3_scaled_rows(spark):
+    rng = np.random.default_rng(3)
+    texts = ["Short line\nno\nthe of and onnd ererly", "no\nShort line\n\n \nthe of nd onnd ererly", "a short onx\na short one"]
+    for n in (8, 14, 24):
+        base = " ".join(WORDS[k] + str(k % 7) for k in rng.integers(0, 10, n))
+        texts.append(base)
+        for edits in (1, 2, 3, 4, 5, 6, 8, 10):
+            x = list(base)
+            for at in rng.choice(len(base) - 12, edits, replace=False):
+                x[at] = ("", "#", x[at] + "+")[rng.integers(0, 3)]
+            texts.append("".join(x))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for per in (12, 20, 64):
+        want = dropped_scaled(list(enumerate(texts)), per)
+        got = {r.doc_id: r for r in line_dedup.report(df, per=per, exact_words=1).collect()}
+        for doc in range(len(texts)):
+            for near, shown in ((False, got[doc].exact_lines), (True, got[doc].near_lines)):
+                assert shown == ",".join(str(k) for (d, k), n in sorted(want.items()) if d == doc and n == near), (per, doc, near)
+    assert want[1, 0] is False and want[1, 1] is False and (2, 1) not in want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab", min_size=40, max_size=90), min_size=1, max_size=4), st.integers(0, 9999), st.integers(5, 20))
+def test_grams_meet_within_the_bound(lines, seed, per):
+    rng, x = np.random.default_rng(seed), lines[-1]
+    y = list(x)
+    for at in rng.choice(len(x), line_dedup.bound(len(x) - len(x) // per, per), replace=False):
+        y[at] = ("", "c", y[at] + "c")[rng.integers(0, 3)]
+    y = "".join(y)
+    k = line_dedup.bound(min(len(x), len(y)), per)
+    if k < 2 or distance(x, y) > k:
+        return
+    owner, at, key = line_dedup.grams([*lines, y], per)
+    a, b = ({(p, h) for o, p, h in zip(owner.tolist(), at.tolist(), key.tolist(), strict=True) if o == i} for i in (len(lines) - 1, len(lines)))
+    assert any(h == g and abs(p - q) <= k for p, h in a for q, g in b)
+
+
 def test_op3_query(spark):
     assert differ(spark, queries.op3_line_dedup, queries.ORACLE["op3_line_dedup"], DATA) == ""
 

@@ -11,8 +11,16 @@ among each other, only their earliest. The earliest partner of each line is then
 Keys are aggregated before they are joined, so a line that stands in many documents, or many lines with one neighbour, cost
 a row each, never pairs.
 
+That is the default, which the SQL of op3_line_dedup states. Two arguments widen it: exact_words, the words of a line that is
+compared for equality (1: every line that is not blank), and per, the characters for each of which a line is allowed one more edit
+(a pair has the bound of its shorter line, one edit at least). Within a bound of k edits the shorter line, of n characters, has a
+run of (n - k) / (k + 1) characters that stands in the other unbroken and at most k places away. The grams winnowed from both
+(the least hash of each window of a run) then agree in one at least, so lines meet on grams, and pairs whose lengths and places
+fit are verified by their edit distance: none within the bound is lost. Pairs are as many as lines that share a gram at a place.
+
 Defined results: a null text has no lines; white space at a line's ends is not compared; null doc_id comes last; rows with
-equal doc_id and text are dropped or kept alike; lines of fewer words always stay; other columns stay untouched.
+equal doc_id and text are dropped or kept alike; lines of fewer words always stay (under MIN_WORDS: unless they are equal and
+exact_words says so); other columns stay untouched.
 """
 
 from __future__ import annotations
@@ -33,14 +41,21 @@ MIN_WORDS, EDITS, PARTS = 5, 1, 16
 _SPACE = " \t\n\x0b\x0c\r"
 #: Characters worked on at once.
 SLICE = 1 << 19
+#: Of the 64 bits of a winnowed gram, those that hold its place; lines a task remembers to have cut into grams.
+_PLACE_BITS, SEEN = 28, 1 << 18
+
+
+def bound(n: int, per: int | None) -> int:
+    """Edits allowed to a line of n characters."""
+    return max(EDITS, n // per) if per else EDITS
 
 
-def eligible(text: str | None) -> list[tuple[int, str]]:
+def eligible(text: str | None, words: int = MIN_WORDS) -> list[tuple[int, str]]:
     """Places and texts of the lines that are compared."""
     out = []
     for k, line in enumerate((text or "").split("\n")):
         line = line.strip(_SPACE)
-        if len(line) > 2 * MIN_WORDS - 2 and len(line.encode().split()) >= MIN_WORDS:
+        if len(line) > 2 * words - 2 and len(line.encode().split()) >= words:
             out.append((k, line))
     return out
 
@@ -90,22 +105,108 @@ def neighbourhood(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.concatenate([lines_at, owner, owner]), np.repeat(np.array([0, 1, 2], dtype=np.int8), [len(lines), n, n]), np.concatenate([whole, less, placed])
 
 
+def gram_sizes(per: int) -> tuple[int, int]:
+    """Characters of a gram, and grams of a window, so that a pair within its bound (of two edits or more) shares a whole window."""
+    # n // per = k: the shortest such lines have k * per characters; the run grows with k.
+    run = -((2 - 2 * per) // 3)
+    gram = max(1, run // 2)
+    return gram, run - gram + 1
+
+
+def grams(lines: list[str], per: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Winnowed grams of the lines (of 2 * per characters or more): index of the line, place in it, key."""
+    gram, window = gram_sizes(per)
+    codes, starts, ends = _codes(lines)
+    at = np.arange(len(codes) - gram + 1)
+    key = grid.spans(codes, at, at + gram) >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)
+    least, size = key | (np.uint64((1 << _PLACE_BITS) - 1) - at.astype(np.uint64)), 1  # of equal ones the last
+    while 2 * size <= window:
+        least, size = np.minimum(least[:-size], least[size:]), 2 * size
+    if size < window:
+        least = np.minimum(least[: len(least) - (window - size)], least[window - size :])
+    inside = ends - starts - (gram + window - 1) + 1
+    owner = np.repeat(np.arange(len(lines)), inside)
+    first = np.arange(len(owner)) - np.repeat(np.cumsum(inside) - inside, inside) + starts[owner]
+    got = least[first]
+    new = np.ones(len(got), dtype=bool)
+    new[1:] = (got[1:] != got[:-1]) | (owner[1:] != owner[:-1])
+    got, owner = got[new], owner[new]
+    place = (np.uint64((1 << _PLACE_BITS) - 1) - (got & np.uint64((1 << _PLACE_BITS) - 1))).astype(np.int64)
+    return owner, place - starts[owner], (got >> np.uint64(_PLACE_BITS)).astype(np.int64)
+
+
+def _fitting(key: np.ndarray, n: np.ndarray, at: np.ndarray, h: np.ndarray, per: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different lines (hashes) with one key, whose lengths and places are within the bound of the shorter one. Sorted by key, n."""
+    k, live, step, out = np.maximum(EDITS, n // per), np.arange(len(key)), 0, [np.zeros((2, 0), dtype=np.int64)]
+    while len(live):
+        step += 1
+        live = live[live + step < len(key)]
+        live = live[(key[live + step] == key[live]) & (n[live + step] - n[live] <= k[live])]
+        good = live[(np.abs(at[live + step] - at[live]) <= k[live]) & (h[live + step] != h[live])]
+        out.append(np.sort(np.stack([h[good], h[good + step]]), axis=0))
+    a, b = np.unique(np.concatenate(out, axis=1), axis=1)
+    return a, b
+
+
+def _pairs(docs: DataFrame, per: int) -> DataFrame:
+    """a, b: hashes of lines that may be within a bound of two edits or more, each pair once. docs: text."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for b in batches:
+            todo, held, last = [], 0, b.num_rows - 1
+            for k, text in enumerate(b.column(0)):
+                for _, line in eligible(text.as_py()):
+                    if len(line) >= 2 * per and (mark := hash(line)) not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(mark)
+                        todo.append(line)
+                        held += len(line)
+                if todo and (held >= SLICE or k == last):
+                    h, n = line_keys(todo)[0].astype(np.int64), np.array([len(x) for x in todo], dtype=np.int32)
+                    owner, at, key = grams(todo, per)
+                    yield pa.RecordBatch.from_pydict({"key": key, "n": n[owner], "at": at.astype(np.int32), "h": h[owner]})
+                    todo, held = [], 0
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for b in batches:
+            got = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            if held:
+                got = [np.concatenate(x) for x in zip(held, got, strict=True)]
+            whole = int(np.searchsorted(got[0], got[0][-1])) if len(got[0]) else 0
+            held = [x[whole:] for x in got]
+            if whole:
+                x, y = _fitting(*[c[:whole] for c in got], per)
+                yield pa.RecordBatch.from_pydict({"a": x, "b": y})
+        if held:
+            x, y = _fitting(*held, per)
+            yield pa.RecordBatch.from_pydict({"a": x, "b": y})
+
+    cuts = docs.select("text").mapInArrow(cut, "key long, n int, at int, h long")
+    return cuts.repartition("key").sortWithinPartitions("key", "n").mapInArrow(meet, "a long, b long").distinct()
+
+
 _KEY = "doc_id long, th long, line_no int"
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line that is compared: doc_id, th (hash of the text), line_no, hash, halves."""
+def _lines(docs: DataFrame, exact_words: int) -> DataFrame:
+    """A row for each line that is compared: doc_id, th (hash of the text), line_no, hash, halves (none under MIN_WORDS words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, ths, held, rows = b.column(0).to_pylist(), b.column(1).to_pylist(), 0, []
             for k, text in enumerate(b.column(2)):
-                for no, line in eligible(text.as_py()):
+                for no, line in eligible(text.as_py(), exact_words):
                     rows.append((ids[k], ths[k], no, line))
                     held += len(line)
                 if held >= SLICE or (k == len(ids) - 1 and rows):
                     h, halves = line_keys([r[3] for r in rows])
-                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "th": pa.array([r[1] for r in rows], pa.int64()), "line_no": pa.array([r[2] for r in rows], pa.int32()), "hash": h.astype(np.int64), "halves": pa.array(halves.astype(np.int64).tolist(), pa.list_(pa.int64()))})
+                    halves = halves.astype(np.int64).tolist()
+                    if exact_words < MIN_WORDS:
+                        halves = [x if len(r[3].encode().split()) >= MIN_WORDS else [] for x, r in zip(halves, rows, strict=True)]
+                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "th": pa.array([r[1] for r in rows], pa.int64()), "line_no": pa.array([r[2] for r in rows], pa.int32()), "hash": h.astype(np.int64), "halves": pa.array(halves, pa.list_(pa.int64()))})
                     held, rows = 0, []
 
     return docs.select("doc_id", "th", "text").mapInArrow(run, f"{_KEY}, hash long, halves array<long>")
@@ -177,10 +278,13 @@ def _place(prefix: str = "") -> Column:
     return F.struct(c("doc_id").isNull().alias("late"), c("doc_id").alias("doc_id"), c("line_no").alias("line_no"), c("th").alias("th"))
 
 
-def duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, th, line_no, near (false: equal), first (place of the earliest partner) of the lines to be dropped. docs: doc_id, th, text."""
+def duplicates(docs: DataFrame, per: int | None = None, exact_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, th, line_no, near (false: equal), first (place of the earliest partner) of the lines to be dropped. docs: doc_id, th, text.
+    per: one more edit for each so many characters (None: EDITS always), 4 at least; exact_words: words of a line that is compared for equality."""
+    if per is not None and per < 4 or not 1 <= exact_words <= MIN_WORDS:
+        raise ValueError("per of 4 or more, exact_words from 1 to MIN_WORDS")
     old: list[str] = []
-    lines = written(_lines(docs), "lines", old).withColumn("place", _place())
+    lines = written(_lines(docs, exact_words), "lines", old).withColumn("place", _place())
     heads = lines.groupBy("hash").agg(F.min("place").alias("place"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("n"))
     heads = written(heads, "heads", old)
     repeated = heads.filter("n > 1").select("hash", F.col("place").alias("first"))
@@ -190,12 +294,19 @@ def duplicates(docs: DataFrame) -> DataFrame:
     keys = heads.select("hash", F.explode("halves").alias("half"))
     met = keys.groupBy("half").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).filter("a <> b").select("half")
     able = keys.hint("merge").join(met, "half").select("hash").distinct()
+    if per:
+        pairs = written(_pairs(docs, per), "pairs", old)
+        able = able.union(pairs.select("a")).union(pairs.select("b")).distinct()
+        of = lambda c: heads.select(F.col("hash").alias(c), F.col("place").alias(f"place_{c}"))
+        pairs = pairs.join(of("a"), "a").join(of("b"), "b").select(F.greatest("place_a", "place_b").alias("place"), F.least("place_a", "place_b").alias("first"))
+        pairs = written(pairs, "placed")
     chosen = heads.join(able, "hash").groupBy("place.doc_id", "place.th").agg(F.collect_set("place.line_no").alias("line_nos"))
     chosen = written(chosen, "chosen").toDF("d", "t", "line_nos")
     drop_written(docs.sparkSession, old)
     texts = _squeezed(docs.select("doc_id", "th", "text"))
     found = texts.hint("merge").join(chosen, texts.doc_id.eqNullSafe(chosen.d) & (texts.th == chosen.t))
     marked = written(_marked(found).dropDuplicates(["doc_id", "th", "line_no"]), "marked")
+    every = marked.select(_place().alias("place"), "line")
     # Of these, lines that share all but a small part.
     fine = _per_lines(marked, "key long", _fine_keys).select("key", _place().alias("place"))
     close = fine.groupBy("key").agg(F.min("place").alias("low"), F.max("place").alias("top")).filter("low <> top").select("key")
@@ -209,16 +320,22 @@ def duplicates(docs: DataFrame) -> DataFrame:
     near = variants.join(best, "key").withColumn("first", partner).filter("first < place").groupBy("place").agg(F.min("first").alias("first"))
     shown = marked.select(_place().alias("place"), "line")
     near = near.join(shown, "place").join(shown.toDF("first", "other"), "first").filter(F.levenshtein("line", "other", EDITS) >= 0)
+    near = near.select("place", "first")
+    if per:
+        wide = pairs.join(every, "place").join(every.toDF("first", "other"), "first")
+        allowed = F.expr(f"CAST(greatest({EDITS}, least(length(line), length(other)) div {per}) AS INT)")
+        wide = wide.withColumn("allowed", allowed).filter("levenshtein(line, other, allowed) >= 0")
+        near = near.union(wide.select("place", "first")).groupBy("place").agg(F.min("first").alias("first"))
     # All repeats of a line that is dropped as near are exact repeats already.
     near = near.select("place", F.lit(True).alias("near"), "first")
     return exact.unionByName(near).select("place.doc_id", "place.th", "place.line_no", "near", "first")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, per: int | None = None, exact_words: int = MIN_WORDS) -> DataFrame:
     """A row for each of docs: whole_row (its columns but text), exact_lines and near_lines (arrays of places), text (less these lines),
     n_lines (before)."""
     th = F.xxhash64(F.coalesce("text", F.lit("")))
-    gone = duplicates(docs.select(F.col("doc_id").cast("long").alias("doc_id"), th.alias("th"), "text")).groupBy("doc_id", "th").agg(
+    gone = duplicates(docs.select(F.col("doc_id").cast("long").alias("doc_id"), th.alias("th"), "text"), per, exact_words).groupBy("doc_id", "th").agg(
         F.sort_array(F.collect_set(F.when(~F.col("near"), F.col("line_no")))).alias("exact_lines"), F.sort_array(F.collect_set(F.when(F.col("near"), F.col("line_no")))).alias("near_lines")
     )
     gone = gone.toDF("gone_doc", "gone_th", "exact_lines", "near_lines")
@@ -249,9 +366,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
-def kept(docs: DataFrame) -> DataFrame:
+def kept(docs: DataFrame, per: int | None = None, exact_words: int = MIN_WORDS) -> DataFrame:
     """The rows of docs with what is left of their texts (n_chars follows, where there is such a column); rows all of whose text was dropped go."""
-    found = dedup(docs)
+    found = dedup(docs, per, exact_words)
     changed = (F.size("exact_lines") > 0) | (F.size("near_lines") > 0)
     found = found.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
@@ -264,9 +381,9 @@ def kept(docs: DataFrame) -> DataFrame:
     return found.select(*[column(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, per: int | None = None, exact_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, n_lines, exact_lines, near_lines (comma-joined places of the dropped lines), text_sha256 of what is left."""
-    found = dedup(docs.select("doc_id", "text"))
+    found = dedup(docs.select("doc_id", "text"), per, exact_words)
     shown = lambda c: F.concat_ws(",", F.col(c).cast("array<string>")).alias(c)
     return found.select(F.col("whole_row")["doc_id"].alias("doc_id"), "n_lines", shown("exact_lines"), shown("near_lines"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 

@@ -20,6 +20,11 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_line_dedup_scaled(spark, sf_dir):
+    """Equal lines of every length, and near ones within an edit for each 64 characters; no SQL."""
+    return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"), per=64, exact_words=1)
+
+
 def op4_secret_scan(spark, sf_dir):
     return secret_scan.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -53,5 +58,5 @@ def op10_mixture_pack(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hpy_lm, op2_chunk_bpe, op3_line_dedup, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op8_ngram_join, op9_chat_format, op10_mixture_pack)}
+QUERIES = {f.__name__: f for f in (op1_hpy_lm, op2_chunk_bpe, op3_line_dedup, op3_line_dedup_scaled, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op8_ngram_join, op9_chat_format, op10_mixture_pack)}
 ORACLE = {"op3_line_dedup": line_dedup.ORACLE, "op5_url_reputation": url_reputation.ORACLE, "op7_robust_quality": robust_quality.ORACLE, "op9_chat_format": chat_format.ORACLE}
