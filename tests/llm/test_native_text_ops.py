@@ -5,6 +5,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.llm.data import DATA, TEXTS, docs
@@ -42,6 +43,21 @@ def test_op7_statistics(spark):
     assert stay.columns == df.columns and stay.count() == sum(r.kept for r in got)
 
 
+def test_op7_small_sources_fall_back_to_the_whole_language_and_corpus(spark):
+    rng = np.random.default_rng(5)
+    text = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(n))
+    rows = [(i, text(int(rng.integers(80, 300))), "en", "big") for i in range(260)]
+    junk = " ".join("#*$%&|<>"[k % 8] * 3 + str(k) for k in range(120))
+    rows += [(1000, text(150), "en", "rare"), (1001, junk, "en", "rare"), (1002, text(150), None, None), (1003, junk, None, None), (1004, text(150), "xx", "big")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in robust_quality.judge(df, whole=True).collect()}
+    assert len(got) == len(rows) and not got[1001] and not got[1003] and got[1000] and got[1002] and got[1004] and sum(got.values()) >= 255
+    stay = robust_quality.keep(df)
+    assert stay.columns == df.columns and {r.doc_id for r in stay.collect()} == {d for d, k in got.items() if k}
+    alone = {r.doc_id: r.kept for r in robust_quality.judge(df).collect()}  # as the SQL has it
+    assert alone[1001] and alone[1003]
+
+
 def test_op7_rejects_outliers_and_keeps_the_rest(spark):
     base = "the of and ererly thhat tionble inges stedou ouhath onnd reean esha".split()
     texts = [" ".join(base[(i * 7 + j * (1 + i % 5)) % 12] + str((i * j) % 97) for j in range(60 + i % 200)) for i in range(400)]

@@ -41,6 +41,11 @@ def op7_robust_quality(spark, sf_dir):
     return robust_quality.digests(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op7_robust_quality_whole(spark, sf_dir):
+    """Small sources are judged by the whole language, then by the whole corpus, as in the pipeline; no SQL."""
+    return robust_quality.digests(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"), whole=True)
+
+
 def op8_ngram_join(spark, sf_dir):
     return ngram_join.link(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -58,5 +63,5 @@ def op10_mixture_pack(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hpy_lm, op2_chunk_bpe, op3_line_dedup, op3_line_dedup_scaled, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op8_ngram_join, op9_chat_format, op10_mixture_pack)}
+QUERIES = {f.__name__: f for f in (op1_hpy_lm, op2_chunk_bpe, op3_line_dedup, op3_line_dedup_scaled, op4_secret_scan, op5_url_reputation, op6_telephony, op7_robust_quality, op7_robust_quality_whole, op8_ngram_join, op9_chat_format, op10_mixture_pack)}
 ORACLE = {"op3_line_dedup": line_dedup.ORACLE, "op5_url_reputation": url_reputation.ORACLE, "op7_robust_quality": robust_quality.ORACLE, "op9_chat_format": chat_format.ORACLE}

@@ -7,6 +7,10 @@ a step orders documents by Mahalanobis distance, keeps the closest part ALPHA (b
 takes mean and covariance of these; the start with the smaller determinant wins. A document is rejected when its squared
 distance, scaled so that the ALPHA quantile is that of a chi-squared law, is over LIMIT.
 
+The SQL of op7_robust_quality estimates the language, and the corpus, from the documents that fall back to it alone. With whole,
+as in keep() and the pipeline, they are estimated from all documents of the language, and all of the corpus; a document is still
+judged once, by its own group.
+
 A step is one aggregation by (group, start, bin), partial sums first, so a hot group is split by Spark's map side; what is
 joined back is one row for each group. Determinants stay over zero by FLOOR, the least standard deviations.
 
@@ -122,8 +126,8 @@ def _bin(d2: str = "d2") -> str:
     return f"CAST(floor({BINS} * ln({d2} + 0.001) / ln(2.0)) AS INT)"
 
 
-def _plan(grouped: str = "grouped") -> list[tuple[str, str]]:
-    """Named steps from `stat` (row_key, lang, source, x_*) to `verdict` (row_key, far)."""
+def _plan(grouped: str = "grouped", whole: bool = False) -> list[tuple[str, str]]:
+    """Named steps from `stat` (row_key, lang, source, x_*) to `verdict` (row_key, far); whole: without `verdict`, as rows are in several groups."""
     x = ", ".join(f"g.{s}" for s in STATS)
     params = ", ".join([f"p.c{i}" for i in range(len(STATS))] + [f"p.l{i}{j}" for i, j in _pairs()])
     steps = [
@@ -137,6 +141,10 @@ def _plan(grouped: str = "grouped") -> list[tuple[str, str]]:
         ("p_middle", f"SELECT grp, 1 AS start, {', '.join(f'c{i}' for i in range(len(STATS)))}, {', '.join(f'sqrt(w{i} * w{i} / 1.8198 + {FLOOR[i] ** 2})' if i == j else 'CAST(0 AS DOUBLE)' for i, j in _pairs())}, CAST(0 AS DOUBLE) AS logdet FROM middle"),
         ("p0", "SELECT * FROM p_plain UNION ALL SELECT * FROM p_middle"),
     ]
+    if whole:  # the groups some rows fall back to take all rows of the language, and of the corpus
+        at = [name for name, _ in steps].index(grouped)
+        steps[at] = (grouped, steps[at][1].replace("JOIN named n", "JOIN dealt n"))
+        steps.insert(at, ("dealt", "SELECT lang, source, grp FROM named UNION SELECT s.lang, s.source, n.grp FROM sizes s JOIN named n ON n.grp = concat('l:', s.lang) UNION SELECT s.lang, s.source, n.grp FROM sizes s JOIN named n ON n.grp = 'all'"))
     for k in range(STEPS):
         steps += [
             (f"d{k}", _distance_sql(f"(SELECT g.row_key, g.grp, p.start, {x}, {params} FROM {grouped} g JOIN p{k} p ON g.grp = p.grp)", f"grp, start, {', '.join(STATS)}")),
@@ -154,7 +162,7 @@ def _plan(grouped: str = "grouped") -> list[tuple[str, str]]:
         ("scale", f"SELECT grp, exp(ln(2.0) * (max(bin) + 1) / {BINS}) AS q FROM cum WHERE before < {ALPHA} * total GROUP BY grp"),
         ("verdict", f"SELECT d.row_key, d.d2 / s.q * {CHI2_ALPHA} > {LIMIT} AS far FROM dist d JOIN scale s ON d.grp = s.grp"),
     ]
-    return steps
+    return steps[:-1] if whole else steps
 
 
 def _as_parameter(sql: str, name: str) -> str:
@@ -172,11 +180,11 @@ def _run(sql: str, made: dict[str, DataFrame]) -> DataFrame:
     return next(iter(used.values())).sparkSession.sql(sql, **used)
 
 
-def estimates(stat: DataFrame) -> dict[str, DataFrame]:
+def estimates(stat: DataFrame, whole: bool = False) -> dict[str, DataFrame]:
     """stat: row_key, lang, source and the columns of STATS (integers).
     Returns named (lang, source, grp), best (grp, centre, factor) and scale (grp, q), one row for each group, as written tables."""
     made, keep = {"stat": stat}, {"named", "grouped", "best", "scale", *(f"p{k}" for k in range(STEPS + 1))}
-    for name, sql in _plan():
+    for name, sql in _plan(whole=whole):
         if name not in ("dist", "verdict"):
             made[name] = _run(sql.replace("QUANTILE(", "percentile("), made)
         elif name == "dist":
@@ -186,13 +194,14 @@ def estimates(stat: DataFrame) -> dict[str, DataFrame]:
     return {k: made[k] for k in ("named", "best", "scale")}
 
 
-def judge(docs: DataFrame, *carry: str) -> DataFrame:
-    """doc_id, lang, source, the statistics, base_failed, kept, and the columns of docs to be carried along."""
+def judge(docs: DataFrame, *carry: str, whole: bool = False) -> DataFrame:
+    """whole: fall back to estimates from all documents of the language, then of the corpus. Returns
+    doc_id, lang, source, the statistics, base_failed, kept, and the columns of docs to be carried along."""
     f = features(docs, *carry)
     own = f.columns
     f = written(f, "quality")
     stat = _run(_vector_sql("feats"), {"feats": f.withColumn("row_key", F.lit(0))})
-    made = estimates(stat)
+    made = estimates(stat, whole)
     x = _run(_vector_sql("feats").replace("SELECT row_key", "SELECT *, 0 AS row_key").replace("coalesce(lang, '') AS lang, coalesce(source, '') AS source", "coalesce(lang, '') AS g_lang, coalesce(source, '') AS g_source"), {"feats": f})
     params = {c: made["best"][c] for c in made["best"].columns if c not in ("grp", "start", "logdet")}
     named = made["named"].select(F.col("lang").alias("n_lang"), F.col("source").alias("n_source"), "grp").join(made["best"].select("grp", *params), "grp").join(made["scale"], "grp")
@@ -212,11 +221,11 @@ def judge(docs: DataFrame, *carry: str) -> DataFrame:
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, all columns as they were."""
     packed = docs.select("doc_id", "lang", "source", "text", F.struct(*[docs[c] for c in docs.columns]).alias("whole_row"))
-    return judge(packed, "whole_row").filter("kept").select("whole_row.*")
+    return judge(packed, "whole_row", whole=True).filter("kept").select("whole_row.*")
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+def digests(docs: DataFrame, whole: bool = False) -> DataFrame:
+    return judge(docs, whole=whole).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 _WS_RE = r"[\x20\x09-\x0D]+"
