@@ -65,6 +65,32 @@ def test_windows_hold_target_shares_and_carry_deficits():
     assert sum(p.count for p in even) == -(-sum(supply) // window)
 
 
+def test_tree_places_every_token_once_and_in_shares():
+    for count, own, limit in ((40, 7, 8), (300, 3, 8), (5, 5, 8), (12, 0, 3)):
+        supply = [2000 + 37 * k for k in range(count)]
+        tree, window = M.Tree(supply, own, None, 4096, 64, limit), 4096
+        seen, held = np.zeros(sum(supply), dtype=int), np.zeros((count, -(-sum(supply) // window)), dtype=int)
+        for j, n in enumerate(supply):
+            for x in range(0, n, 700):
+                for pos, length in tree.runs(j, x, min(700, n - x)):
+                    assert pos // 64 == (pos + length - 1) // 64
+                    seen[pos : pos + length] += 1
+                    held[j, pos // window] += length
+        assert (seen == 1).all()
+        if count == 40:  # each of 33 sources that share a queue has its share of each stretch of windows
+            for a in range(0, held.shape[1] - 8, 4):
+                want = 8 * window * np.array(supply) / sum(supply)
+                assert (np.abs(held[:, a : a + 8].sum(axis=1) - want) <= want / 4 + 8).all()
+
+
+def test_op10_targets_outside_the_largest(spark, monkeypatch):
+    monkeypatch.setattr(M, "MAX_QUEUES", 4)
+    rows = [(i, f"s{i % 9}", "some words to be packed " * (3 if i % 9 == 8 else 30)) for i in range(180)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = M.pack(df, *ARGS, targets={"s8": 1, "s0": 1}, with_ids=False, window=128, sequence=64).collect()
+    assert sum(r.length for r in got if r.source == "s8" and r.sequence_id < 2) == 64
+
+
 def check(rows, texts):
     """rows: pieces; texts: {doc_id: text}."""
     by_doc, by_seq = defaultdict(list), defaultdict(list)

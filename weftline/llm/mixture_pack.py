@@ -9,7 +9,9 @@ from the other queues in order of what they are owed, and a new phase begins wit
 given, the shares are those of the corpus, and all queues run dry together.
 
 Two passes: tokenize once and write the ids to the shared folder; sum tokens by source and partition (that is all that is
-gathered) and cut. At most MAX_QUEUES - 1 sources have a queue of their own, the largest; all others share one.
+gathered: a row for each source) and cut. Sources that targets name have a queue of their own, and the largest up to
+MAX_QUEUES - 1; all others share one, which is itself filled by deficit round-robin over them (see Tree), in windows of what
+the shared queue is owed in a window, so their shares are exact in these and off by less than one such share in the others.
 
 Defined results: a null text is "", and so one id 0; a null source is a source of its own; repeated rows are packed again;
 no rows give no pieces; a document longer than a window is cut; other columns are ignored.
@@ -208,6 +210,35 @@ class Cutter:
                 pos, size = pos + part, size - part
 
 
+class Tree:
+    """Places tokens of any number of queues: the first `own` have a queue each, the others share one (after them), dealt out
+    by deficit round-robin in turn, in groups where they are more than MAX_QUEUES. targets: of the own queues; others 0."""
+
+    def __init__(self, supply: list[int], own: int, targets: list[int] | None = None, window: int = WINDOW, sequence: int = SEQUENCE, limit: int = MAX_QUEUES):
+        self.own, rest = own, supply[own:]
+        self.size = max(1, -(-len(rest) // limit))
+        groups = [rest[k : k + self.size] for k in range(0, len(rest), self.size)]
+        total, shared = sum(supply), sum(rest)
+        outer = supply[:own] + ([shared] if rest else [])
+        self.outer = Cutter(schedule(outer, None if targets is None else targets + [0] * bool(rest), window), window, sequence)
+        self.inner, self.groups = None, []
+        if shared:
+            inside = max(1, window * shared // total)
+            self.inner = Cutter(schedule([sum(g) for g in groups], None, inside), inside, inside)
+            if self.size > 1:
+                self.groups = [Tree(g, 0 if len(g) > limit else len(g), None, max(1, inside * sum(g) // shared), max(1, inside * sum(g) // shared), limit) for g in groups]
+
+    def runs(self, j: int, x: int, n: int) -> Iterator[tuple[int, int]]:
+        """(place, length) of tokens x .. x + n - 1 of queue j, as Cutter.runs."""
+        if j < self.own:
+            yield from self.outer.runs(j, x, n)
+            return
+        g, k = divmod(j - self.own, self.size)
+        for at, size in self.groups[g].runs(k, x, n) if self.groups else [(x, n)]:
+            for pos, length in self.inner.runs(g, at, size):
+                yield from self.outer.runs(self.own, pos, length)
+
+
 def _tokenized(docs: DataFrame, ranks_path: str, pattern: str, special: dict[str, int]) -> DataFrame:
     """doc_id, source, part, off (tokens of the source before, in this partition), n, ids (uint16)."""
 
@@ -239,26 +270,23 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, special: dict[str, int]
     """docs: doc_id, source, text. targets: weights of sources (others 0: they come once the others are used up).
     Returns the pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, and with_ids the ids (little-endian uint32)."""
     tokens = written(_tokenized(docs, ranks_path, pattern, special), "tokens")
-    own = tokens.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), F.col("source").asc_nulls_first()).limit(MAX_QUEUES - 1).collect()
-    queue = {r.source: k for k, r in enumerate(own)}
-    rest = len(own)
-    by_part = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
-    number = F.create_map(*[F.lit(x) for k, v in queue.items() if k is not None for x in (k, v)])[F.col("source")] if set(queue) - {None} else F.lit(None).cast("int")
-    number = F.when(F.col("source").isNull(), F.lit(queue.get(None, rest))).otherwise(F.coalesce(number, F.lit(rest)))
-    by_part = by_part.withColumn("queue", number)
-    before = Window.partitionBy("queue").orderBy("part", F.col("source").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    bases = written(by_part.select("source", "part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), "n"), "bases")
-    totals = {r.queue: r.n for r in bases.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
-    supply = [totals.get(j, 0) for j in range(rest + 1)]
-    weights = None if targets is None else [targets.get(r.source, 0) for r in own] + [0]
-    phases = schedule(supply, weights, window)
+    by_part = written(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "by-part")
+    sizes = by_part.groupBy("source").agg(F.sum("n").alias("n")).collect()
+    named = lambda r: targets is not None and targets.get(r.source, 0) > 0
+    sizes.sort(key=lambda r: (not named(r), -r.n, r.source is not None, r.source or ""))
+    own = min(len(sizes), max(MAX_QUEUES - 1, sum(map(named, sizes))))
+    weights = None if targets is None else [targets.get(r.source, 0) for r in sizes[:own]]
+    tree = Tree([r.n for r in sizes], own, weights, window, sequence)
+    number = tokens.sparkSession.createDataFrame([(r.source, k) for k, r in enumerate(sizes)], "numbered string, queue int")
+    before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = by_part.join(F.broadcast(number), by_part.source.eqNullSafe(number.numbered))
+    bases = written(bases.select("source", "part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
     bases = bases.select(F.col("source").alias("s"), F.col("part").alias("p"), "queue", "base")
     placed = tokens.join(bases, tokens.source.eqNullSafe(bases.s) & (tokens.part == bases.p)).select(
         "doc_id", "source", "queue", (F.col("base") + F.col("off")).alias("x"), "ids"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Cutter(phases, window, sequence)
         names = [f.split()[0] for f in PIECES.split(", ")]
         kinds = [pa.int64()] * 7 + [pa.string(), pa.binary()]
         for batch in batches:
@@ -267,7 +295,7 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, special: dict[str, int]
                 for doc, source, j, x, data in zip(*[c.to_pylist() for c in b.columns], strict=True):
                     ids = np.frombuffer(data, dtype="<u2").astype("<u4").tobytes()
                     n, start = len(ids) // 4, 0
-                    for pos, length in cutter.runs(j, x, n):
+                    for pos, length in tree.runs(j, x, n):
                         piece = ids[4 * start : 4 * (start + length)]
                         rows.append((doc, start, length, zlib.crc32(piece), n, pos // sequence, pos % sequence, source, piece if with_ids else None))
                         start += length
