@@ -220,6 +220,26 @@ def test_op8_rows(spark):
     assert ngram_join.link(docs(spark, [None, "", "a", "b", "c", " "])).count() == 8
 
 
+def test_op8_nameless_rows_and_equal_ids(spark):
+    """Rows without doc_id are linked like others, also where nothing else has their text; one doc_id may stand for several texts."""
+    a, b, c = near_copies(3, 200, 3)
+    rows = [(1, a), (None, b), (None, b), (None, c), (2, c), (2, "of other words " * 20), (3, c), (3, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert shown(ngram_join.link(df)) == linked(rows)
+    assert shown(ngram_join.link(df.filter("doc_id IS NULL"))) == linked([r for r in rows if r[0] is None])
+    many = near_copies(400, 90, 5)
+    df = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string").repartition(5)
+    assert shown(ngram_join.link(df, block_nodes=50)) == linked(list(enumerate(many)))
+
+
+def test_op8_recall_of_few_bands(spark):
+    """With bands for a low recall what is found is a part of the links, and at least the share asked for."""
+    rows = [(k, t) for seed in range(40) for k, t in zip(range(seed * 3, seed * 3 + 3), near_copies(3, 60, seed), strict=True)]
+    want = sum(n for _, _, _, n in linked(rows))
+    got = sum(n for _, _, _, n in shown(ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string"), recall=0.9)))
+    assert 0.9 * want <= got <= want
+
+
 def test_op8_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
     assert shown(queries.op8_ngram_join(spark, DATA)) == linked(rows)

@@ -18,10 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session; a fresh one only where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir of the session. Only a local session, whose executors are its driver,
+    gets a fresh one where that is unset; a cluster must name its own."""
     conf = spark.sparkContext.getConf()
     base = spark.conf.get("spark.checkpoint.dir", conf.get("spark.checkpoint.dir", "")) or ""
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='weftline-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -58,12 +61,17 @@ def text_of(c: str = "text") -> Column:
 def components(edges: DataFrame) -> DataFrame:
     """edges: a, b. Connected components as node, root (the least node), one row for each node that has an edge.
 
-    Labels run to the least along edges and along labels (pointer jumping), until a round changes nothing; each round is a
+    First each node's lesser neighbours are tied to the least of them, which leaves about an edge a node however many there were.
+    Labels then run to the least along edges and along labels (pointer jumping), until a round changes nothing; each round is a
     table in the shared folder. Nothing is collected but the number of changes."""
     spark, old = edges.sparkSession, []
-    edges = written(edges.select("a", "b").filter("a <> b").distinct(), "edges")  # read twice below
-    both = written(edges.unionAll(edges.select("b", "a")).distinct(), "both")
-    old.clear()  # of the tables below, those that no later round reads are deleted
+    first = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", old)
+    least = first.groupBy("a").agg(F.min("b").alias("m"))
+    tied = first.hint("merge").join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    rest: list[str] = []
+    tied = written(tied.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "tied", rest)  # read twice below
+    drop_written(spark, old)
+    both = written(tied.unionAll(tied.select("b", "a")), "both", rest)
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels", old)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
@@ -76,4 +84,5 @@ def components(edges: DataFrame) -> DataFrame:
         drop_written(spark, old)
         labels, old = new.select("node", "root"), done
         if not changed:
+            drop_written(spark, rest)
             return labels
