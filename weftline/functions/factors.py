@@ -23,6 +23,8 @@ def catalogue() -> dict[int, E]:
     rsv = lambda n: 100 * (c - mn(l, n)) / (mx(h, n) - mn(l, n))
     off_high = 100 * (mx(h, 6) - c) / (mx(h, 6) - mn(l, 6))
     strength = lambda x, n: 100 * ema(high(x, 0), n, 1) / ema(absolute(x), n, 1)
+    gain = lambda x: iff(x > 0, x, 0.0)  # noqa: E731  0 also where x is not known
+    gain_share = lambda x, n: 100 * ema(gain(x), n, 1) / ema(absolute(x), n, 1)
     signed_volume = iff(up, v, iff(down, -v, 0.0 * v))
     from_low = iff(c.eq(c1), 0.0, c - iff(up, low(l, c1), high(h, c1)))
     move = high(absolute(h - h1), absolute(l - l1))
@@ -40,7 +42,7 @@ def catalogue() -> dict[int, E]:
     vol_up, vol_not = iff(up, sd(c, 20), 0.0), iff(up, 0.0, sd(c, 20))
     span_mean = lambda x: M(x, 12) - M(x, 26)
     dev = ret - M(ret, 20)
-    f79 = strength(dc, 12)
+    f79, rs162 = strength(dc, 12), gain_share(dc, 12)
     smooth3 = ema(ema(ema(log(c), 13, 2), 13, 2), 13, 2)
     floor1, ceil1 = low(l, c1), high(h, c1)
     part = lambda n: (c - S(floor1, n)) / S(ceil1 - floor1, n)
@@ -52,7 +54,7 @@ def catalogue() -> dict[int, E]:
     day = (h - l) / (S(c, 5) / 5)
     k28 = ema(rsv(9), 3, 1)
     macd = lambda x: ema(x, 13, 2) - ema(x, 27, 2)
-    bench_ret, bench_down = bc / lag(bc) - 1, bc < bo
+    bench_ret, bench_down = bc / lag(bc) - 1, bc < lag(bc)
     pair_y, pair_x = iff(bench_down, ret, 0.0), iff(bench_down, bench_ret, 0.0)
     n252, known252 = S(flag(bench_down), 252), S(ret * 0 + bench_ret * 0, 252)
     sxy, sx, sy, sxx = S(pair_x * pair_y, 252), S(pair_x, 252), S(pair_y, 252), S(pair_x * pair_x, 252)
@@ -156,7 +158,7 @@ def catalogue() -> dict[int, E]:
         99: -R(cov(R(c), R(v), 5)),
         100: sd(v, 20),
         101: -flag(R(corr(c, S(M(v, 30), 37), 15)) < R(corr(R(0.1 * h + 0.9 * vw), R(v), 11))),
-        102: strength(delta(v), 6),
+        102: gain_share(delta(v), 6),
         103: 100 * (20 - low_day(l, 20)) / 20,
         104: -delta(corr(h, v, 5), 5) * R(sd(c, 20)),
         105: -corr(R(o), R(v), 10),
@@ -164,9 +166,9 @@ def catalogue() -> dict[int, E]:
         107: -R(o - h1) * R(o - c1) * R(o - l1),
         108: -(R(h - mn(h, 2)) ** R(corr(vw, M(v, 120), 6))),
         109: ema(h - l, 10, 2) / ema(ema(h - l, 10, 2), 10, 2),
-        110: 100 * S(high(0, h - c1), 20) / S(high(0, c1 - l), 20),
+        110: 100 * S(gain(h - c1), 20) / S(gain(c1 - l), 20),
         111: ema(v * place, 11, 2) - ema(v * place, 4, 2),
-        112: 100 * (S(high(dc, 0), 12) - S(high(-dc, 0), 12)) / (S(high(dc, 0), 12) + S(high(-dc, 0), 12)),
+        112: 100 * (S(gain(dc), 12) - S(gain(-dc), 12)) / (S(gain(dc), 12) + S(gain(-dc), 12)),
         113: -R(S(lag(c, 5), 20) / 20) * corr(c, v, 2) * R(corr(S(c, 5), S(c, 20), 2)),
         114: (R(lag(day, 2)) * R(R(v))) / (day / (vw - c)),
         115: R(corr(0.9 * h + 0.1 * c, M(v, 30), 10)) ** R(corr(tsr(mid, 4), tsr(v, 10), 7)),
@@ -201,7 +203,7 @@ def catalogue() -> dict[int, E]:
         145: 100 * (M(v, 9) - M(v, 26)) / M(v, 12),
         147: slope(M(c, 12), 12),
         148: -flag(R(corr(o, S(M(v, 60), 9), 6)) < R(o - mn(o, 14))),
-        149: iff(known252.eq(0.0), (sxy / n252 - sx / n252 * (sy / n252)) / (sxx / n252 - sx / n252 * (sx / n252)), filtered(lift(0.0), lift(1.0) < 0)),
+        149: iff(known252.eq(0.0), (sxy / n252 - sx / n252 * (sy / n252)) / (sxx / n252 - sx / n252 * (sx / n252)) * (n252 - 1) / n252, filtered(lift(0.0), lift(1.0) < 0)),
         150: tp * v,
         151: ema(c - lag(c, 20), 20, 1),
         152: ema(span_mean(lag(ema(lag(c / lag(c, 9)), 9, 1))), 9, 1),
@@ -214,17 +216,17 @@ def catalogue() -> dict[int, E]:
         159: 100 / 504 * (part(6) * 288 + part(12) * 144 + part(24) * 144),
         160: ema(iff(c <= c1, sd(c, 20), 0.0), 20, 1),
         161: M(true_range, 12),
-        162: (f79 - mn(f79, 12)) / (mx(f79, 12) - mn(f79, 12)),
+        162: (rs162 - mn(rs162, 12)) / (mx(rs162, 12) - mn(rs162, 12)),
         163: R(-ret * M(v, 20) * vw * (h - c)),
         164: ema(100 * (iff(up, 1 / dc, 1.0) - mn(iff(up, 1 / dc, 1.0), 12)) / (h - l), 13, 2),
         166: -(19**0.5 / 18) * S(dev * dev * dev, 20) / S(dev * dev, 20) ** 1.5,
-        167: S(high(dc, 0), 12),
+        167: S(gain(dc), 12),
         168: -v / M(v, 20),
         169: ema(span_mean(lag(ema(dc, 9, 1))), 10, 1),
         170: (R(1 / c) * v / M(v, 20)) * (h * R(h - c) / (S(h, 5) / 5)) - R(vw - lag(vw, 5)),
         171: -((l - c) * (o * o * o * o * o)) / ((c - h) * (c * c * c * c * c)),
         172: adx,
-        173: 3e-2 * ema(ema(c, 13, 2), 13, 2) + smooth3,
+        173: 3 * ema(c, 13, 2) - 2 * ema(ema(c, 13, 2), 13, 2) + smooth3,
         174: ema(iff(c <= c1, sd(c, 20), 0.0), 20, 1),
         175: M(true_range, 6),
         176: corr(R(rsv(12)), R(v), 6),

@@ -172,6 +172,11 @@ def slope(x: E, n: int) -> E:
     return (decay(x, n) * (n * (n + 1) / 2) - total(x, n) * half) / (n * (n * n - 1) / 12)
 
 
+def beta(y: E, x: E, n: int) -> E:
+    """Slope of y on x as the catalogue has it: population covariance over sample variance."""
+    return cov(y, x, n) / variance(x, n)
+
+
 def tsrank(x: E, n: int) -> E:
     """Share of the window's values at or below the last one."""
     return E.make("tsrank", x, n)
