@@ -11,15 +11,20 @@ from weftline.plans import expr as X
 from weftline.sources.panel import panel, panel_sql
 
 
-def shown(x: str) -> str:
-    """Few digits, coarser for large values: the engines add in different orders."""
-    x = f"({x})"
-    return (f"CASE WHEN abs({x}) < 1e4 THEN floor({x} * 1e3 + 0.5000003) / 1e3 WHEN abs({x}) < 1e8 THEN floor({x} / 10 + 0.5) * 10 "
-            f"ELSE (CASE WHEN {x} > 0 THEN 1 ELSE -1 END) * (1e8 + floor(ln(abs({x})) * 100 + 0.5)) END")
+#: Factors whose values are too small for three decimals are shown times these.
+SCALE = {"f122": 100.0, "f144": 1e8}
+
+
+def shown(x: str, scale: float = 1.0) -> str:
+    """Three decimals, of values over 1e4 six leading digits, over 1e15 the logarithm: the engines add in different orders."""
+    x = f"({x})" if scale == 1 else f"({x} * CAST({scale!r} AS DOUBLE))"
+    unit = f"power(CAST(10 AS DOUBLE), floor(log10(abs({x}))) - 5)"
+    return (f"CASE WHEN abs({x}) < 1e4 THEN floor({x} * 1e3 + 0.5000003) / 1e3 WHEN abs({x}) < 1e15 THEN floor({x} / {unit} + 0.5000003) * {unit} "
+            f"ELSE (CASE WHEN {x} > 0 THEN 1 ELSE -1 END) * floor(ln(abs({x})) * 1e5 + 0.5) END")
 
 
 def expression_query(outputs: dict[str, X.E], kind: str = "dense") -> tuple[Callable[[SparkSession, str], DataFrame], str]:
-    columns = ", ".join(f"{shown(n)} AS {n}" for n in outputs)
+    columns = ", ".join(f"{shown(n, SCALE.get(n, 1.0))} AS {n}" for n in outputs)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = X.evaluate(panel(spark, sf_dir, kind), outputs)
