@@ -401,6 +401,19 @@ def _scalar(e: E) -> str:
     raise ValueError(op)
 
 
+def array_window(e: E) -> str:
+    """As window(), but a place within the last n rows is found in one array of them and not by a lag for each row."""
+    if e.op not in ("tsrank", "argext"):
+        return window(e)
+    *fn, x, n = e.args
+    x = scalar(x)
+    rows = f"OVER ({_OVER} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    held = f"collect_list({x}) {rows}"  # passes over nulls
+    if e.op == "tsrank":
+        return f"CASE WHEN size({held}) = {n} THEN CAST(size(filter({held}, y -> y <= {x})) AS DOUBLE) / {n} END"
+    return f"CASE WHEN size({held}) = {n} THEN CAST({n} - array_position({held}, array_{fn[0]}({held})) AS DOUBLE) END"
+
+
 def window(e: E) -> str:
     """SQL of a window node (not of ema)."""
     rows = lambda n: f"OVER ({_OVER} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
@@ -464,7 +477,7 @@ def evaluate(panel: DataFrame, outputs: dict[str, E]) -> DataFrame:
             schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in df.schema if not f.name.startswith("x")] + [f"{y} double" for _, y, _ in more])
             df = df.groupBy("code").applyInPandas(_fold(more, "date"), schema)
         else:
-            df = spark.sql(f"SELECT {', '.join([*KEYS, *keep])}, {', '.join(f'{window(w)} AS {column(w)}' for w in nodes)} FROM {{df}}", df=df)
+            df = spark.sql(f"SELECT {', '.join([*KEYS, *keep])}, {', '.join(f'{array_window(w)} AS {column(w)}' for w in nodes)} FROM {{df}}", df=df)
     return spark.sql(f"SELECT date, code, {', '.join(f'{_finite(scalar(e))} AS {n}' for n, e in outputs.items())} FROM {{df}}", df=df)
 
 
