@@ -3,9 +3,11 @@
 Chat logs often hold a conversation again and again, each time some turns longer. Rolling hashes of turn prefixes find
 the logged conversations that are a prefix of a longer one; an anti-join keeps the maximal ones, which are then rendered.
 
-A turn's hash covers its place in the conversation, role and text (two 32-bit halves); the hash of a prefix is the
-running sum of its turns' hashes. Sums are taken within blocks of turns and over block totals, so one conversation of any
-length is dealt to many tasks; its rendering comes in parts of as many turns.
+A turn's hash covers its place in the conversation, role and text (128 bits, as four sums of 32 bits each); the hash of a prefix
+is the running sum of its turns' hashes. Sums are taken within blocks of turns and over block totals, so one conversation of any
+length is dealt to many tasks; its rendering comes in parts of as many turns. The texts move twice: by conversation and block to
+be put in order (then they are written to the shared folder with their prefix hashes, which all later steps read), and to be
+rendered, when only maximal conversations are left.
 
 Defined results: rows equal in conv_id, turn, role and text count once; ties in turn are ordered by role and text, a null
 turn stands last; a null role or text is ""; null conv_id is a conversation of its own; of equal conversations the one
@@ -17,57 +19,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.llm.common import written
+
 #: Turns of a block and of a rendered part.
 BLOCK = 256
 
 
+#: Stands for a null turn's block, after all others.
+LAST = (1 << 63) - 1
+KEY = ("conv", "nameless")
+LANES = ("h1", "h2", "h3", "h4")
+
+
 def prefixes(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
-    """conv_id, role, text, pos (from 1), hi, lo: the hash of the turns up to this one."""
-    t = conversations.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).distinct()
-    t = t.withColumn("block", F.floor(F.col("turn") / block)).withColumn("key", F.struct(F.col("turn").isNull(), "turn", "role", "text"))
-    order = Window.partitionBy("conv_id", "block").orderBy("key")
-    t = t.withColumn("nth", F.row_number().over(order))
-    over = Window.partitionBy("conv_id").orderBy(F.col("block").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    before = t.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("conv_id").alias("c"), F.col("block").alias("b"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("n0")
-    )
-    t = t.join(before, t.conv_id.eqNullSafe(before.c) & t.block.eqNullSafe(before.b)).withColumn("pos", F.col("n0") + F.col("nth"))
-    own = F.xxhash64("pos", "role", "text")
-    t = t.select("conv_id", "block", "role", "text", "pos", F.shiftrightunsigned(own, 32).alias("h1"), own.bitwiseAND(F.lit(0xFFFFFFFF)).alias("h2"))
-    sums = t.groupBy("conv_id", "block").agg(F.sum("h1").alias("s1"), F.sum("h2").alias("s2")).select(
-        F.col("conv_id").alias("c"), F.col("block").alias("b"),
-        F.coalesce(F.sum("s1").over(over), F.lit(0)).alias("a1"), F.coalesce(F.sum("s2").over(over), F.lit(0)).alias("a2"),
-    )
-    within = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return t.join(sums, t.conv_id.eqNullSafe(sums.c) & t.block.eqNullSafe(sums.b)).select(
-        "conv_id", "role", "text", "pos", (F.col("a1") + F.sum("h1").over(within)).alias("hi"), (F.col("a2") + F.sum("h2").over(within)).alias("lo")
-    )
+    """conv and nameless (conv_id as two columns without nulls), role, text, pos (from 1), n_turns (of the conversation), h1 .. h4:
+    the hash of the turns up to this one."""
+    own = F.coalesce("conv_id", F.lit(0)).alias("conv"), F.col("conv_id").isNull().alias("nameless")
+    at = F.coalesce(F.floor(F.col("turn") / block), F.lit(LAST)).alias("block")
+    t = conversations.select(*own, at, "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    t = t.repartition(*KEY, "block").distinct()  # by the same key as the window and the joins below: texts are shuffled once
+    by_block = (*KEY, "block")
+    t = t.withColumn("nth", F.row_number().over(Window.partitionBy(*by_block).orderBy(F.col("turn").isNull(), "turn", "role", "text")))
+    before = Window.partitionBy(*KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = t.groupBy(*by_block).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select(*by_block, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.sum("n").over(Window.partitionBy(*KEY)).alias("n_turns"))
+    t = t.join(counts, list(by_block)).withColumn("pos", F.col("n0") + F.col("nth"))
+    one, two = F.xxhash64("pos", "role", "text"), F.xxhash64(F.lit(7), "text", "role", "pos")
+    halves = [h for x in (one, two) for h in (F.shiftrightunsigned(x, 32), x.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    t = t.select(*by_block, "role", "text", "pos", "n_turns", *[h.alias(name) for h, name in zip(halves, LANES, strict=True)])
+    sums = t.groupBy(*by_block).agg(*[F.sum(h).alias(f"s{h}") for h in LANES])
+    sums = sums.select(*by_block, *[F.coalesce(F.sum(f"s{h}").over(before), F.lit(0)).alias(f"a{h}") for h in LANES])
+    within = Window.partitionBy(*by_block).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return t.join(sums, list(by_block)).select(*KEY, "role", "text", "pos", "n_turns", *[(F.col(f"a{h}") + F.sum(h).over(within)).alias(h) for h in LANES])
 
 
 def maximal(turns: DataFrame) -> DataFrame:
-    """conv_id, n_turns of the conversations that no longer one extends; turns: from prefixes()."""
-    whole = turns.groupBy("conv_id").agg(F.max(F.struct("pos", "hi", "lo")).alias("w")).select("conv_id", "w.*")
-    whole = whole.groupBy("pos", "hi", "lo").agg(F.min("conv_id").alias("conv_id"))
-    longest = turns.groupBy("conv_id").agg(F.max("pos").alias("n"))
-    inner = turns.select(F.col("conv_id").alias("c"), "pos", "hi", "lo").join(longest, F.col("c").eqNullSafe(F.col("conv_id"))).filter("pos < n")
-    inner = inner.select("pos", "hi", "lo").distinct()
-    return whole.join(inner, ["pos", "hi", "lo"], "left_anti").select("conv_id", F.col("pos").alias("n_turns"))
+    """conv, nameless of the conversations that no longer one extends; turns: from prefixes()."""
+    prefix = ["pos", *LANES]
+    whole = turns.filter("pos = n_turns").groupBy(*prefix).agg(F.min(F.struct("nameless", "conv")).alias("first"))
+    inner = turns.filter("pos < n_turns").select(*prefix).distinct()
+    return whole.join(inner, prefix, "left_anti").select("first.conv", "first.nameless")
 
 
 def render(turns: DataFrame, kept: DataFrame, block: int = BLOCK) -> DataFrame:
     """conv_id, part, n_turns (of the conversation), text: turns as <|role|>, line feed, text, line feed."""
     line = F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n"))
-    kept = kept.withColumnRenamed("conv_id", "k")
-    parts = turns.join(kept, turns.conv_id.eqNullSafe(kept.k)).withColumn("part", F.floor((F.col("pos") - 1) / block))
-    return parts.groupBy("conv_id", "part", "n_turns").agg(F.sort_array(F.collect_list(F.struct("pos", line.alias("line")))).alias("lines")).select(
-        "conv_id", "part", "n_turns", F.array_join(F.col("lines.line"), "").alias("text")
+    parts = turns.join(kept, list(KEY)).withColumn("part", F.floor((F.col("pos") - 1) / block))
+    return parts.groupBy(*KEY, "part", "n_turns").agg(F.sort_array(F.collect_list(F.struct("pos", line.alias("line")))).alias("lines")).select(
+        F.when(~F.col("nameless"), F.col("conv")).alias("conv_id"), "part", "n_turns", F.array_join(F.col("lines.line"), "").alias("text")
     )
 
 
 def format_chats(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
-    turns = prefixes(conversations, block)
+    turns = written(prefixes(conversations, block), "turns")
     return render(turns, maximal(turns), block)
 
 
