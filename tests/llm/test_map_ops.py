@@ -35,6 +35,27 @@ def test_chunks_equal_whole_encoding(tok):
         for t in TEXTS * 2:
             assert enc.encode((t or "").encode()) == want(tok, t), t
         assert enc.repaired and enc.encoded and enc.reused
+        if mean > 4:  # a long text is cut into chunks, and no join needed more than a word
+            assert not enc.widened
+
+
+def test_joins_widen_until_they_agree(tok):
+    """Chunks whose stored ids are wrong at an end aren't joined there: the window grows, at last to the whole text."""
+    enc = chunk_bpe.ChunkEncoder(PATH, 64)
+    text = " ".join(f"some words number {i} of many" for i in range(40))
+    assert enc.encode(text.encode()) == want(tok, text)
+    other = list(enc.chunks)[2]
+    c = enc.chunks[other]
+    dict.__setitem__(enc.chunks, other, c._replace(ids=c.ids[:-4] + b"\0\0\0\0"))
+    assert enc.encode(text.encode()) == want(tok, text) and enc.widened
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab \n", max_size=30), st.integers(1, 5))
+def test_words_at_an_end(text, n):
+    words = text.replace("\n", " ").split()
+    assert chunk_bpe.words_at(text, n, True).split() == words[max(0, len(words) - n) :] and text.endswith(chunk_bpe.words_at(text, n, True))
+    assert chunk_bpe.words_at(text, n, False).split() == words[:n] and text.startswith(chunk_bpe.words_at(text, n, False))
 
 
 @settings(max_examples=150, deadline=None)
