@@ -39,6 +39,15 @@ def test_chunks_equal_whole_encoding(tok):
             assert not enc.widened
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aZzßéÈñö×÷ÿŸd't.,!-%&1", min_size=1, max_size=14))
+def test_words_by_units_equal_the_library(word):
+    enc = chunk_bpe.encoder(PATH, 4)
+    assert enc.units
+    enc.words = {"": b""}
+    assert enc.ids_of([word])[0] == want(enc.tok, word)[0]
+
+
 def test_joins_widen_until_they_agree(tok):
     """Chunks whose stored ids are wrong at an end aren't joined there: the window grows, at last to the whole text."""
     enc = chunk_bpe.ChunkEncoder(PATH, 64)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from array import array
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -30,7 +31,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: One cut in so many bytes on average; bytes of a worker's chunk store; words of its word store; bytes of text worked on at once.
-MEAN_CHUNK, STORE_BYTES, STORE_WORDS, SLICE = 512, 48 << 20, 250_000, 2 << 20
+MEAN_CHUNK, STORE_BYTES, STORE_WORDS, SLICE = 1024, 48 << 20, 500_000, 2 << 20
+# Steps of a tokenizer for which a word of letters is one unit of the model, apart from punctuation after it.
+UNITS = {
+    "normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
+#: A word of letters with punctuation after it (no apostrophe, which some units hold); a word of letters that NFC leaves as they are.
+_ENDED = re.compile(r"([A-Za-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+_LETTERS = re.compile(r"[A-Za-zß-öø-ÿ]+")
+#: The byte-level alphabet: printable Latin-1 stands for itself, the other bytes, in order, for U+0100 and on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 _rng = np.random.Generator(np.random.PCG64(20))
 _GEAR = _rng.integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -113,7 +125,8 @@ class ChunkEncoder:
         for t, i in vocab.items():
             self.vocab[i] = t.encode() + b" "
         self.mean, self.chunks, self.words = mean, Store(STORE_BYTES), {"": b""}
-        self.old_words: dict[str, bytes] = {}
+        steps = {k: (spec.get(k) or {}).get(many, []) for k, many in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))}
+        self.units = {k: [x["type"] for x in v] for k, v in steps.items()} == {k: UNITS[k] for k in steps} and steps["pre_tokenizer"][0]["pattern"] == {"Regex": UNITS["pattern"]}
         self.encoded = self.reused = self.repaired = self.widened = 0
 
     def shown(self, ids: list[int]) -> bytes:
@@ -122,19 +135,24 @@ class ChunkEncoder:
     def ids_of(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that begin and end at separators, from the words' ids; words that aren't known are encoded together."""
         if len(self.words) > STORE_WORDS:
-            self.old_words, self.words = self.words, {"": b""}
+            self.words = {"": b""}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = list(set().union(*split) - self.words.keys())
-        for k in range(0, len(missing), 20_000):
-            new = []
-            for w in missing[k : k + 20_000]:
-                found = self.old_words.get(w)
-                if found is None:
-                    new.append(w)
-                else:
-                    self.words[w] = found
-            for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.words[w] = array("I", e.ids).tobytes()
+        missing = set().union(*split) - self.words.keys()
+        ended = {}
+        if self.units:
+            ended = {w: m.groups() for w in missing if (m := _ENDED.fullmatch(w))}
+            missing = {*(missing - ended.keys()), *[x for pair in ended.values() for x in pair]} - self.words.keys()
+        if self.units:
+            letters, model = [w for w in missing if _LETTERS.fullmatch(w)], self.tok.model
+            for w in letters:
+                unit = w.lower() if w.isascii() else w.lower().encode().decode("latin-1").translate(_ALPHABET)
+                self.words[w] = array("I", [x.id for x in model.tokenize(unit)]).tobytes()
+            missing -= set(letters)
+        new = list(missing)
+        for k in range(0, len(new), 20_000):
+            part = new[k : k + 20_000]
+            self.words.update(zip(part, [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(part, add_special_tokens=False)], strict=True))
+        self.words.update({w: self.words[x] + self.words[y] for w, (x, y) in ended.items()})
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
     def split(self, data: bytes) -> list[bytes]:
