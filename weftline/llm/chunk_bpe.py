@@ -42,7 +42,7 @@ _ENDED = re.compile(r"([A-Za-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 _LETTERS = re.compile(r"[A-Za-zß-öø-ÿ]+")
 #: The byte-level alphabet: printable Latin-1 stands for itself, the other bytes, in order, for U+0100 and on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_ALPHABET = {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+ALPHABET = {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 _rng = np.random.Generator(np.random.PCG64(20))
 _GEAR = _rng.integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -145,7 +145,7 @@ class ChunkEncoder:
         if self.units:
             letters, model = [w for w in missing if _LETTERS.fullmatch(w)], self.tok.model
             for w in letters:
-                unit = w.lower() if w.isascii() else w.lower().encode().decode("latin-1").translate(_ALPHABET)
+                unit = w.lower() if w.isascii() else w.lower().encode().decode("latin-1").translate(ALPHABET)
                 self.words[w] = array("I", [x.id for x in model.tokenize(unit)]).tobytes()
             missing -= set(letters)
         new = list(missing)

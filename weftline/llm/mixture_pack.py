@@ -6,7 +6,7 @@ into the next window. The tokens that rounding leaves open go to the largest que
 a queue has given before window k is a closed form in k, so every partition finds the windows of its own documents without
 talking to others: deficits are carried across partitions as across windows. When a queue runs dry, the window is filled up
 from the other queues in order of what they are owed, and a new phase begins with the shares of those left. With no targets
-given, the shares are those of the corpus, and all queues run dry together.
+given, a source's share goes with a power of its tokens; with that power 1 all queues run dry together.
 
 Two passes: tokenize once and write the ids to the shared folder; sum tokens by source and partition (that is all that is
 gathered: a row for each source) and cut. Sources that targets name have a queue of their own, and the largest up to
@@ -19,10 +19,12 @@ no rows give no pieces; a document longer than a window is cut; other columns ar
 
 from __future__ import annotations
 
-import base64
 import bisect
+import json
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.chunk_bpe import Store
+from weftline.llm.chunk_bpe import ALPHABET
 from weftline.llm.common import written
 
 SEQUENCE, WINDOW, MAX_QUEUES, STORE_PIECES = 1024, 64 * 1024, 256, 600_000
@@ -43,18 +45,33 @@ _ODD = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u202
 _EDGE = re.compile(r"(?<=\S)(?=\s)")
 
 
-class ByteBPE:
-    """Ids as the tokenizers library gives them for the byte-level BPE, from its ranks; pieces are encoded once a worker, up to a bound."""
+#: Pieces of ASCII and accented Latin-1 letters, and how the byte-level pattern cuts them into units of the model.
+_PLAIN = re.compile(r"[ \n]?[!-~À-ÖØ-öø-ÿ]+")
+#: The usual piece: a word of ASCII letters and punctuation after it, two units.
+_WORD = re.compile(r"( ?[A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
+_UNITS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+")
 
-    def __init__(self, ranks_path: str, pattern: str, special: dict[str, int]):
-        import tiktoken
 
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.enc = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.special = special
-        self.parts = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.known = Store(STORE_PIECES)
+class ByteBPE:
+    """Ids as the tokenizers library gives them for a byte-level BPE; pieces are encoded once a worker, up to a bound."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cut = spec.get("pre_tokenizer") or {}
+        if spec.get("normalizer") or cut.get("type") != "ByteLevel" or not cut.get("use_regex") or cut.get("add_prefix_space"):
+            raise ValueError("a byte-level BPE without normalizer and prefix space is needed: its texts fall apart before white space")
+        self.model, self.added = self.tok.model, [x["content"] for x in spec.get("added_tokens", [])]
+        last = max(self.tok.get_vocab(with_added_tokens=True).values())
+        #: Type code of an array of ids, the same as a numpy type.
+        self.code, self.dtype = ("H", "<u2") if last < 1 << 16 else ("I", "<u4")
+        self.known: dict[str, bytes] = {"": b""}
 
     def pieces(self, text: str) -> list[str]:
         """Pieces that can be encoded apart: white space stands only at their start."""
@@ -62,37 +79,51 @@ class ByteBPE:
             return _EDGE.split(text)
         return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian uint16 ids."""
-        if self.parts is not None and "<|" in text and self.parts.search(text):
-            return b"".join([np.array([self.special[x]], dtype="<u2").tobytes() if x in self.special else self.encode_plain(x) for x in self.parts.split(text)])
-        return self.encode_plain(text)
+    def unit(self, x: str) -> bytes:
+        """Ids of one unit."""
+        x = x.replace(" ", "\u0120").replace("\n", "\u010a") if x.isascii() else x.encode().decode("latin-1").translate(ALPHABET)
+        return array(self.code, [t.id for t in self.model.tokenize(x)]).tobytes()
+
+    def learn(self, missing: set[str]) -> None:
+        known, unit, rest = self.known, self.unit, []
+        for w in missing:
+            if m := _WORD.fullmatch(w):
+                stem, more = m.groups()
+                ids = known.get(stem)
+                if ids is None:
+                    known[stem] = ids = unit(stem)
+                if more:
+                    known[w] = ids + (known.get(more) or unit(more))
+            elif _PLAIN.fullmatch(w) and not any(x in w for x in self.added):
+                known[w] = b"".join([known.get(x) or unit(x) for x in _UNITS.findall(w)])
+            else:
+                rest.append(w)
+        if rest:
+            for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+                known[w] = array(self.code, e.ids).tobytes()
 
-    def encode_plain(self, text: str) -> bytes:
+    def encode(self, text: str) -> bytes:
+        """Little-endian ids."""
         pieces = self.pieces(text)
         got = list(map(self.known.get, pieces))
         if None in got:
-            known, encode = self.known, self.enc.encode_ordinary
-            for k, x in enumerate(got):
-                if x is None:
-                    p = pieces[k]
-                    x = known[p]
-                    if x is None:
-                        x = np.array(encode(p), dtype="<u2").tobytes()
-                    if p not in known:
-                        known.add(p, x)
-                    got[k] = x
+            if len(self.known) > STORE_PIECES:
+                self.known = {"": b""}
+                self.learn(set(pieces))
+            else:
+                self.learn({p for p, x in zip(pieces, got, strict=True) if x is None})
+            got = map(self.known.__getitem__, pieces)
         return b"".join(got)
 
 
-_encoders: dict[tuple, ByteBPE] = {}
+_encoders: dict[str, ByteBPE] = {}
 
 
-def encoder(ranks_path: str, pattern: str, special: dict[str, int]) -> ByteBPE:
-    key = (ranks_path, pattern, tuple(special.items()))
-    if key not in _encoders:
-        _encoders[key] = ByteBPE(ranks_path, pattern, special)
-    return _encoders[key]
+def encoder(path: str) -> ByteBPE:
+    """The process's own."""
+    if path not in _encoders:
+        _encoders[path] = ByteBPE(path)
+    return _encoders[path]
 
 
 @dataclass
@@ -121,7 +152,7 @@ class Phase:
 
 def schedule(supply: list[int], targets: list[int] | None = None, window: int = WINDOW) -> list[Phase]:
     """Phases that use up all queues; targets: integer weights of the queues (None: their supply)."""
-    targets = list(targets or supply)
+    targets = list(targets) if targets and any(targets) else list(supply)
     left, given, at, out = list(supply), [0] * len(supply), 0, []
     while sum(left) > 0:
         weights = [w if n else 0 for w, n in zip(targets, left, strict=True)]
@@ -212,21 +243,25 @@ class Cutter:
 
 class Tree:
     """Places tokens of any number of queues: the first `own` have a queue each, the others share one (after them), dealt out
-    by deficit round-robin in turn, in groups where they are more than MAX_QUEUES. targets: of the own queues; others 0."""
+    by deficit round-robin in turn, in groups where they are more than MAX_QUEUES. targets: of all queues (None: their supply)."""
 
     def __init__(self, supply: list[int], own: int, targets: list[int] | None = None, window: int = WINDOW, sequence: int = SEQUENCE, limit: int = MAX_QUEUES):
-        self.own, rest = own, supply[own:]
+        weights = list(targets or supply)
+        self.own, rest, want = own, supply[own:], weights[own:]
         self.size = max(1, -(-len(rest) // limit))
-        groups = [rest[k : k + self.size] for k in range(0, len(rest), self.size)]
-        total, shared = sum(supply), sum(rest)
-        outer = supply[:own] + ([shared] if rest else [])
-        self.outer = Cutter(schedule(outer, None if targets is None else targets + [0] * bool(rest), window), window, sequence)
+        part = lambda x: [x[k : k + self.size] for k in range(0, len(rest), self.size)]
+        groups, wants = part(rest), part(want)
+        shared, share = sum(rest), sum(want) / max(1, sum(weights))
+        more = [shared] if rest else []
+        self.outer = Cutter(schedule(supply[:own] + more, weights[:own] + ([sum(want)] if rest else []), window), window, sequence)
         self.inner, self.groups = None, []
         if shared:
-            inside = max(1, window * shared // total)
-            self.inner = Cutter(schedule([sum(g) for g in groups], None, inside), inside, inside)
+            inside = max(1, int(window * (share or shared / sum(supply))))
+            self.inner = Cutter(schedule([sum(g) for g in groups], [sum(w) for w in wants], inside), inside, inside)
             if self.size > 1:
-                self.groups = [Tree(g, 0 if len(g) > limit else len(g), None, max(1, inside * sum(g) // shared), max(1, inside * sum(g) // shared), limit) for g in groups]
+                for g, w in zip(groups, wants, strict=True):
+                    size = max(1, int(inside * (sum(w) / max(1, sum(want)) or sum(g) / shared)))
+                    self.groups.append(Tree(g, 0 if len(g) > limit else len(g), w, size, size, limit))
 
     def runs(self, j: int, x: int, n: int) -> Iterator[tuple[int, int]]:
         """(place, length) of tokens x .. x + n - 1 of queue j, as Cutter.runs."""
@@ -239,22 +274,20 @@ class Tree:
                 yield from self.outer.runs(self.own, pos, length)
 
 
-def _tokenized(docs: DataFrame, ranks_path: str, pattern: str, special: dict[str, int]) -> DataFrame:
-    """doc_id, source, part, off (tokens of the source before, in this partition), n, ids (uint16)."""
+def _tokenized(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, source, part, off (tokens of the source before, in this partition), n, ids (of the encoder's type)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, part, seen = encoder(ranks_path, pattern, special), TaskContext.get().partitionId(), {}
-        end = np.array([END], dtype="<u2").tobytes()
+        enc, part, seen = encoder(path), TaskContext.get().partitionId(), {}
+        end = array(enc.code, [END]).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 b = batch.slice(at, 500)
-                ids, off, n = [], [], []
-                for source, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                    x = enc.encode(text) + end if text else end
-                    ids.append(x)
-                    n.append(len(x) // 2)
+                ids, off, n = [enc.encode(t) + end if t else end for t in b.column(2).to_pylist()], [], []
+                for source, x in zip(b.column(1).to_pylist(), ids, strict=True):
+                    n.append(len(x) // len(end))
                     off.append(seen.get(source, 0))
                     seen[source] = off[-1] + n[-1]
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "source": b.column(1), "part": pa.array([part] * len(n), pa.int64()), "off": pa.array(off, pa.int64()), "n": pa.array(n, pa.int64()), "ids": pa.array(ids, pa.binary())})
@@ -262,20 +295,26 @@ def _tokenized(docs: DataFrame, ranks_path: str, pattern: str, special: dict[str
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").mapInArrow(run, "doc_id long, source string, part long, off long, n long, ids binary")
 
 
+def tempered(supply: list[int], temper: float) -> list[int]:
+    """Integer weights in proportion to supply ** temper."""
+    return list(supply) if temper == 1 else [round(1000 * n**temper) for n in supply]
+
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, ids binary"
 
 
-def pack(docs: DataFrame, ranks_path: str, pattern: str, special: dict[str, int], targets: dict[str, int] | None = None, with_ids: bool = True,
-         window: int = WINDOW, sequence: int = SEQUENCE) -> DataFrame:
-    """docs: doc_id, source, text. targets: weights of sources (others 0: they come once the others are used up).
+def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, temper: float = 1.0, with_ids: bool = True, window: int = WINDOW, sequence: int = SEQUENCE) -> DataFrame:
+    """docs: doc_id, source, text; path: a tokenizer's file. targets: weights of sources (others 0: they come once the others are
+    used up); without targets a source's weight is its tokens to the power of temper (1: the corpus's own shares, 0: equal ones).
     Returns the pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, and with_ids the ids (little-endian uint32)."""
-    tokens = written(_tokenized(docs, ranks_path, pattern, special), "tokens")
+    dtype = encoder(path).dtype
+    tokens = written(_tokenized(docs, path), "tokens")
     by_part = written(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "by-part")
     sizes = by_part.groupBy("source").agg(F.sum("n").alias("n")).collect()
     named = lambda r: targets is not None and targets.get(r.source, 0) > 0
     sizes.sort(key=lambda r: (not named(r), -r.n, r.source is not None, r.source or ""))
     own = min(len(sizes), max(MAX_QUEUES - 1, sum(map(named, sizes))))
-    weights = None if targets is None else [targets.get(r.source, 0) for r in sizes[:own]]
+    weights = tempered([r.n for r in sizes], temper) if targets is None else [targets.get(r.source, 0) for r in sizes]
     tree = Tree([r.n for r in sizes], own, weights, window, sequence)
     number = tokens.sparkSession.createDataFrame([(r.source, k) for k, r in enumerate(sizes)], "numbered string, queue int")
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -293,7 +332,7 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, special: dict[str, int]
             for at in range(0, batch.num_rows, 500):
                 b, rows = batch.slice(at, 500), []
                 for doc, source, j, x, data in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                    ids = np.frombuffer(data, dtype="<u2").astype("<u4").tobytes()
+                    ids = np.frombuffer(data, dtype=dtype).astype("<u4").tobytes()
                     n, start = len(ids) // 4, 0
                     for pos, length in tree.runs(j, x, n):
                         piece = ids[4 * start : 4 * (start + length)]

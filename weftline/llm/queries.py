@@ -54,9 +54,13 @@ def op9_chat_format(spark, sf_dir):
     return chat_format.format_chats(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
+#: Power of a source's tokens that its share of a window follows: small sources come more often than in the corpus.
+TEMPER = 0.5
+
+
 def pack_documents(docs, with_ids=False):
     """Packing as the query and the pipeline do it."""
-    return mixture_pack.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256}, with_ids=with_ids)
+    return mixture_pack.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), temper=TEMPER, with_ids=with_ids)
 
 
 def op10_mixture_pack(spark, sf_dir):
