@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -29,11 +30,17 @@ def test_ids_equal_library():
         assert np.frombuffer(enc.encode(t or ""), enc.dtype).tolist() == ids_of(t), t
 
 
+def test_vocabulary_is_the_files():
+    enc = M.encoder(PATH)
+    assert M.PATTERN == P.PATTERN and enc.special == {"<|endoftext|>": 50256} and enc.enc.n_vocab == 50256 and enc.dtype == "<u2"
+    with pytest.raises(ValueError):
+        M.ByteBPE(P.path("word_bpe_49k.json"))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab'sTéÀ×ÿßñ \n\t\xa0\x1c\x85　<|>1.,²_\0", max_size=60) | st.lists(st.sampled_from(["<|endoftext|>", " ", "  ", "a", "The", "\n", "it's"]), max_size=12).map("".join))
 def test_ids_equal_library_on_any_text(text):
     enc = M.encoder(PATH)
-    enc.known = {"": b""}
     assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == ids_of(text)
 
 

@@ -43,6 +43,8 @@ _LETTERS = re.compile(r"[A-Za-zß-öø-ÿ]+")
 #: The byte-level alphabet: printable Latin-1 stands for itself, the other bytes, in order, for U+0100 and on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 ALPHABET = {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+#: The byte of each letter of that alphabet.
+LETTER_BYTES = {chr(ALPHABET.get(b, b)): b for b in range(256)}
 _rng = np.random.Generator(np.random.PCG64(20))
 _GEAR = _rng.integers(0, 1 << 32, 256, dtype=np.uint32)
 
