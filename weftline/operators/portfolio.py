@@ -26,6 +26,51 @@ def top_k(alphas: DataFrame, k: int, max_weight: float = 1.0) -> DataFrame:
     return cut.select("date", "code", (F.col("weight") + F.when(F.col("rooms") > 0, F.col("room") * F.least(F.lit(1.0), F.col("free") / F.when(F.col("rooms") > 0, F.col("rooms")))).otherwise(0.0)).alias("weight"))
 
 
+def positions(targets: DataFrame, band: float = 0.01, start: DataFrame | None = None) -> DataFrame:
+    """date, code, weight, before: what is held after each rebalance and what was before it. A change under `band` isn't made, so a
+    position stays until the target has moved away from it by that much; a code without target is sold. start: code, weight, held
+    before the first date. Codes don't depend on each other, so each is carried through the dates (a calendar, so few) on its own."""
+    dates = targets.select("date").distinct()
+    began = targets.select("code").distinct()
+    if start is not None:
+        began = began.unionAll(start.select("code")).distinct()
+        began = began.join(start.select("code", F.col("weight").alias("held")), "code", "left")
+    else:
+        began = began.withColumn("held", F.lit(0.0))
+    code = dict(targets.dtypes)["code"]
+    grid = began.crossJoin(dates).join(targets.select("date", "code", F.col("weight").alias("target")), ["date", "code"], "left")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date")
+        held = float(pdf.held.fillna(0.0).iloc[0])
+        out = []
+        for target in pdf.target.to_numpy(float):
+            wanted = 0.0 if np.isnan(target) else target
+            before, held = held, (held if not np.isnan(target) and abs(wanted - held) < band else wanted)
+            out.append((held, before))
+        return pdf[["date", "code"]].assign(weight=[x for x, _ in out], before=[x for _, x in out])
+
+    done = grid.select("date", "code", "target", "held").groupBy("code").applyInPandas(run, f"date date, code {code}, weight double, before double")
+    return done.filter("weight <> 0 OR before <> 0")
+
+
+def position_orders(held: DataFrame) -> DataFrame:
+    """date, code, target_weight, side of positions()."""
+    change = F.col("weight") - F.col("before")
+    side = F.when(change > 1e-10, "BUY").when(change < -1e-10, "SELL")
+    return held.select("date", "code", F.col("weight").alias("target_weight"), side.alias("side")).filter("side IS NOT NULL")
+
+
+def rebalance_days(cal: DataFrame, gap: int, last=None) -> DataFrame:
+    """date of the days on which to rebalance: the first one, then each `gap` trading days on; last: the last one already made."""
+    days = cal.select("date", "ord")
+    if last is None:
+        base = days.agg(F.min("ord").alias("base"))
+        return days.crossJoin(base).filter((F.col("ord") - F.col("base")) % gap == 0).select("date")
+    base = days.filter(F.col("date") <= F.lit(last).cast("date")).agg(F.max("ord").alias("base"))
+    return days.crossJoin(base).filter((F.col("ord") > F.col("base")) & ((F.col("ord") - F.col("base")) % gap == 0)).select("date")
+
+
 def orders(target: DataFrame, previous: DataFrame, band: float = 0.01) -> DataFrame:
     """date, code, target_weight, side (BUY, SELL): changes of at least `band`; what is held and no longer wanted is sold.
     target: date, code, weight; previous: the same, the weights held into that date."""

@@ -60,6 +60,30 @@ def _scaled(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _residuals(pdf: pd.DataFrame, factors: list[str], styles: list[str], industry: str | None, alpha: float) -> tuple[np.ndarray, np.ndarray, list[int], int]:
+    """Of one date: scaled factors, their residuals, rows used for each factor (whether or not they were enough), columns p."""
+    x = _scaled(pdf[styles].to_numpy(float))
+    if industry:
+        x = np.column_stack([x, _dummies(pdf[industry])])
+    full = np.column_stack([x, np.ones(len(pdf))])
+    y = _scaled(pdf[factors].to_numpy(float))
+    ok_x, out, used = np.isfinite(x).all(axis=1), np.full(y.shape, np.nan), [0] * y.shape[1]
+    patterns: dict[bytes, list[int]] = {}
+    for k in range(y.shape[1]):
+        patterns.setdefault((ok_x & np.isfinite(y[:, k])).tobytes(), []).append(k)
+    for mask, ks in patterns.items():
+        rows = np.frombuffer(mask, dtype=bool)
+        for k in ks:
+            used[k] = int(rows.sum())
+        if rows.sum() < x.shape[1] + 5:
+            continue
+        a = full[rows]
+        gram = a.T @ a + alpha * np.diag([1.0] * x.shape[1] + [0.0])
+        beta = np.linalg.lstsq(gram, a.T @ y[np.ix_(rows, ks)], rcond=1e-12)[0]
+        out[np.ix_(rows, ks)] = y[np.ix_(rows, ks)] - a @ beta
+    return y, out, used, x.shape[1]
+
+
 def orthogonalize(exposures: DataFrame, factors: list[str], styles: list[str], industry: str | None = None, alpha: float = 1e-6) -> DataFrame:
     """date, code, factor_id, residual: each standardized factor less its ridge fit on the standardized styles and the industries.
 
@@ -67,23 +91,7 @@ def orthogonalize(exposures: DataFrame, factors: list[str], styles: list[str], i
     the same rows missing share one factorization."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = _scaled(pdf[styles].to_numpy(float))
-        if industry:
-            x = np.column_stack([x, _dummies(pdf[industry])])
-        full = np.column_stack([x, np.ones(len(pdf))])
-        y = _scaled(pdf[factors].to_numpy(float))
-        ok_x, out = np.isfinite(x).all(axis=1), np.full(y.shape, np.nan)
-        patterns: dict[bytes, list[int]] = {}
-        for k in range(y.shape[1]):
-            patterns.setdefault((ok_x & np.isfinite(y[:, k])).tobytes(), []).append(k)
-        for mask, ks in patterns.items():
-            rows = np.frombuffer(mask, dtype=bool)
-            if rows.sum() < x.shape[1] + 5:
-                continue
-            a = full[rows]
-            gram = a.T @ a + alpha * np.diag([1.0] * x.shape[1] + [0.0])
-            beta = np.linalg.lstsq(gram, a.T @ y[np.ix_(rows, ks)], rcond=1e-12)[0]
-            out[np.ix_(rows, ks)] = y[np.ix_(rows, ks)] - a @ beta
+        out = _residuals(pdf, factors, styles, industry, alpha)[1]
         long = pd.DataFrame(out, columns=factors).assign(date=pdf.date.to_numpy(), code=pdf.code.to_numpy()).melt(["date", "code"], var_name="factor_id", value_name="residual")
         return long[["date", "code", "factor_id", "residual"]].replace({np.nan: None}).astype({"residual": "float64"})
 
@@ -92,6 +100,27 @@ def orthogonalize(exposures: DataFrame, factors: list[str], styles: list[str], i
     return exposures.select(*need).groupBy("date").applyInPandas(run, f"date date, code {code}, factor_id string, residual double")
 
 
+def orthogonalize_metrics(exposures: DataFrame, factors: list[str], styles: list[str], industry: str | None = None, alpha: float = 1e-6) -> DataFrame:
+    """date, factor_id, n, p, ridge_alpha, r2, rmse, fail, reason (all-NaN, insufficient N or NULL): how the fits of orthogonalize() went."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        y, out, used, p = _residuals(pdf, factors, styles, industry, alpha)
+        rows = []
+        for k, name in enumerate(factors):
+            r, r2, rmse = out[:, k], None, None
+            reason = None if np.isfinite(r).any() else "insufficient N" if np.isfinite(y[:, k]).any() else "all-NaN"
+            if reason is None:
+                ok = np.isfinite(r)
+                sse, sst = float((r[ok] ** 2).sum()), float(((y[ok, k] - y[ok, k].mean()) ** 2).sum())
+                r2, rmse = (1 - sse / sst if sst > 0 else None), float(np.sqrt(sse / ok.sum()))
+            rows.append((pdf.date.iloc[0], name, 0 if reason == "all-NaN" else used[k], p, alpha, r2, rmse, int(reason is not None), reason))
+        done = pd.DataFrame(rows, columns=["date", "factor_id", "n", "p", "ridge_alpha", "r2", "rmse", "fail", "reason"])
+        return done.astype({"r2": "float64", "rmse": "float64"})
+
+    need = ["date", "code", *factors, *styles, *([industry] if industry else [])]
+    return exposures.select(*need).groupBy("date").applyInPandas(run, "date date, factor_id string, n long, p long, ridge_alpha double, r2 double, rmse double, fail int, reason string")
+
+
 def factor_returns(data: DataFrame, y: str, factors: list[str], styles: list[str] | None = None, industry: str | None = None, alpha: float = 0.0) -> DataFrame:
     """date, factor_id, beta, n, p, r2, rmse: a regression a date of y on the factors (and styles and industries). N < p + 5: NULL."""
     styles = styles or []

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def upsert_rolloff(old: DataFrame, new: DataFrame, key: list[str], keep_last: int, roll: str | None = None) -> DataFrame:
-    """old and new by the union of their columns; new rows override on `key`; only the last `keep_last` values of `roll`
+def upsert_rolloff(old: DataFrame, new: DataFrame, key: list[str], keep_last: int, roll: str | None = None, order: list[str] | None = None) -> DataFrame:
+    """old and new by the union of their columns; new rows override on `key`, of several new ones the last by `order`; only the last `keep_last` values of `roll`
     (default: the first key column), in falling order, stay. The values to keep are found on the distinct ones."""
     roll = roll or key[0]
     both = old.withColumn("is_new", F.lit(0)).unionByName(new.withColumn("is_new", F.lit(1)), allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy(F.col("is_new").desc())
+    w = Window.partitionBy(*key).orderBy(F.col("is_new").desc(), *[F.col(c).desc() for c in order or []])
     one = both.withColumn("nth_row", F.row_number().over(w)).filter("nth_row = 1").drop("nth_row", "is_new")
     last = one.select(roll).distinct().orderBy(F.col(roll).desc()).limit(keep_last)
     return one.join(last, roll, "left_semi")
@@ -25,13 +25,18 @@ def latest(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def as_of(days: DataFrame, facts: DataFrame, key: str, effective: str, order: list[str], lag_days: int = 0) -> DataFrame:
     """days: (date, key) rows asked for. Adds the columns of the last fact with effective <= date - lag_days, for all dates at once.
 
-    Facts become intervals up to the next effective date (one join row for each hit, no pairs of all dates and facts)."""
+    Days and facts are put in one order by key and date, and each day takes the last fact before it: one shuffle by key, work in
+    proportion to days plus facts, and no pair of a day and a fact is ever formed."""
     facts = latest(facts, [key, effective], order)
-    w = Window.partitionBy(key).orderBy(effective)
-    spans = facts.withColumn("until_date", F.lead(effective).over(w)).withColumnRenamed(key, "fact_key")
-    at = F.date_sub(days.date, lag_days)
-    hit = (days[key] == spans.fact_key) & (spans[effective] <= at) & (spans.until_date.isNull() | (at < spans.until_date))
-    return days.join(spans, hit, "left").drop("fact_key", "until_date")
+    kept = [c for c in facts.columns if c != key]
+    fact = F.struct(*[F.col(c) for c in kept])
+    day = F.struct(*[F.col(c) for c in days.columns])
+    kind, day_kind = facts.select(fact).schema[0].dataType, days.select(day).schema[0].dataType
+    at = facts.select(F.col(key).alias("k"), F.col(effective).cast("date").alias("at"), F.lit(0).alias("asked"), F.lit(None).cast(day_kind).alias("day"), fact.alias("fact"))
+    at = at.unionAll(days.select(F.col(key).alias("k"), F.date_sub("date", lag_days).alias("at"), F.lit(1).alias("asked"), day.alias("day"), F.lit(None).cast(kind).alias("fact")))
+    w = Window.partitionBy("k").orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    found = at.filter("k IS NOT NULL OR asked = 1").withColumn("fact", F.when(F.col("k").isNotNull(), F.last("fact", ignorenulls=True).over(w))).filter("asked = 1")
+    return found.select("day.*", *[F.col("fact")[c].alias(c) for c in kept])
 
 
 def manifest_rows(path: str) -> dict:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.operators import crosssec
+from weftline.operators.store import as_of
+
 
 def ema_weights(n: int, half_life: float) -> list[float]:
     """Oldest first, summing to 1."""
@@ -24,9 +28,14 @@ def price_styles(panel: DataFrame, beta_n: int = 250, vol_n: int = 250, mom_n: i
 
     beta and hsigma: weighted regression (half-life 60) of returns on the equal-weighted market, rows with a missing return
     passed over; dastd: weighted deviation (half-life 40); rstr: weighted log returns from mom_n to `skip` rows back
-    (half-life 120); sto*: sums of volume over 21, 63, 252 rows, from `least` rows on."""
+    (half-life 120); sto*: where the panel has float_shares, the turnover (last known volume by float shares) summed over 21, 63,
+    252 rows, else the logarithm of the volume's sums, from `least` rows on."""
     w = Window.partitionBy("code").orderBy("date")
     by_date = Window.partitionBy("date")
+    shares = "float_shares" in panel.columns
+    if shares:
+        held = F.last("volume", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        panel = panel.withColumn("volume", F.try_divide(held, F.when(F.col("float_shares") > 0, F.col("float_shares"))))
     d = panel.select("date", "code", "ord", "close", "volume", F.avg("close").over(by_date).alias("market"))
     ret = lambda c: F.try_divide(F.col(c), F.lag(c).over(w)) - 1
     d = d.select("date", "code", "ord", "volume", ret("close").alias("y"), ret("market").alias("m"))
@@ -45,7 +54,7 @@ def price_styles(panel: DataFrame, beta_n: int = 250, vol_n: int = 250, mom_n: i
     rest = F.col("syy") / F.col("s1") - mean_y * mean_y - beta * beta * var_m
     ready = F.col("seen_n") >= least
     vol = F.col("vyy") / F.col("v1") - F.pow(F.col("vy") / F.col("v1"), F.lit(2))
-    sto = lambda n: F.when(F.col("vol_n") >= least, F.ln(F.when(F.col(f"sum_{n}") > 0, F.col(f"sum_{n}"))))
+    sto = lambda n: F.when(F.col("vol_n") >= max(least, n if shares else 0), F.col(f"sum_{n}") if shares else F.ln(F.when(F.col(f"sum_{n}") > 0, F.col(f"sum_{n}"))))
     return d.select("date", "code", F.when(ready, beta).alias("beta"), F.when(ready, F.sqrt(F.greatest(rest, F.lit(0.0)))).alias("hsigma"), F.when(ready, F.sqrt(F.greatest(vol, F.lit(0.0)))).alias("dastd"),
                     F.when(ready, F.col("rstr_num") / F.col("rstr_den")).alias("rstr"), sto(21).alias("stom"), sto(63).alias("stoq"), sto(252).alias("stoa"))
 
@@ -65,3 +74,52 @@ def fundamental_styles(df: DataFrame) -> DataFrame:
         "growth_rev_yoy": c("growth_rev_yoy"), "growth_np_yoy": c("growth_np_yoy"), "roe_ttm": c("roe_ttm"), "roa_ttm": c("roa_ttm"),
     }
     return df.select(*[k for k in ("date", "code") if k in have], *[v.alias(k) for k, v in out.items()])
+
+
+def style_config(text: str) -> dict[str, tuple[list[str], dict[str, float], bool]]:
+    """group: (members, weights, standardized after). JSON (so also YAML's flow form): {"groups": .., "weights": ..}; groups as a map or a
+    list of {group or name, members or factors, post_standardize}, weights as a map or a list of {group or name, weights}. What is of
+    another form counts as empty."""
+    data = json.loads(text)
+    groups, weights = (data.get(k) or {} for k in ("groups", "weights")) if isinstance(data, dict) else ({}, {})
+    named = lambda x: x.get("group") or x.get("name")
+    if isinstance(groups, list):
+        groups = {named(g) or f"group_{k}": g for k, g in enumerate(groups) if isinstance(g, dict)}
+    if isinstance(weights, list):
+        weights = {named(w): w.get("weights") or {} for w in weights if isinstance(w, dict) and named(w)}
+    out = {}
+    for name, g in groups.items():
+        g = {"members": g} if isinstance(g, list) else g
+        if isinstance(g, dict):
+            w = weights.get(name)
+            out[str(name)] = (list(g.get("members") or g.get("factors") or []), {str(k): float(v) for k, v in (w if isinstance(w, dict) else {}).items()}, bool(g.get("post_standardize", True)))
+    return out
+
+
+def style_exposures(df: DataFrame, groups: dict[str, tuple[list[str], dict[str, float], bool]]) -> DataFrame:
+    """df: date, code and sub-factors. date, code and a column for each group: members are winsorized and standardized by date, put
+    together by their weights (evenly over those that are there where none are given), and standardized again. A member that df
+    lacks counts as NULL."""
+    names = sorted({m for members, _, _ in groups.values() for m in members})
+    d = df.select("date", "code", *[F.col(m).cast("double").alias(m) if m in df.columns else F.lit(None).cast("double").alias(m) for m in names])
+    d = crosssec.standardize(d, names, ["date"])
+    after = []
+    for name, (members, weights, again) in groups.items():
+        given = {m: weights.get(m, 0.0) for m in members} if weights else dict.fromkeys(members)
+        d = crosssec.group_mean(d, given, f"group_{name}") if members else d.withColumn(f"group_{name}", F.lit(None).cast("double"))
+        after += [f"group_{name}"] * again
+    d = crosssec.zscore(d, after, ["date"])
+    return d.select("date", "code", *[F.col(f"group_{name}").alias(name) for name in groups])
+
+
+def hydrate(df: DataFrame, shares: DataFrame | None = None, balance: DataFrame | None = None, lag_days: int = 1) -> DataFrame:
+    """df: date, code, close. Adds the last known share counts (code, effective, total_shares, float_shares) and balance-sheet items
+    (code, published, ...) of at least lag_days before the date, and market_cap from the close where it isn't given."""
+    for facts, at in ((shares, "effective"), (balance, "published")):
+        if facts is not None:
+            rest = [c for c in facts.columns if c not in ("code", at)]
+            found = as_of(df.select("date", "code").distinct(), facts, "code", at, rest, lag_days).drop(at)
+            df = df.join(found.select("date", "code", *[c for c in rest if c not in df.columns]), ["date", "code"], "left")
+    if "total_shares" in df.columns and "market_cap" not in df.columns:
+        df = df.withColumn("market_cap", F.col("close") * F.col("total_shares"))
+    return df

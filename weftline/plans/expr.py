@@ -12,6 +12,7 @@ from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _nodes: dict[tuple, E] = {}
 
@@ -466,9 +467,10 @@ KEYS = ("date", "code", "ord")
 
 def evaluate(panel: DataFrame, outputs: dict[str, E]) -> DataFrame:
     """panel: date, code, ord (place of the date in the panel) and the variables, a row for each date and code.
-    Returns date, code and the named expressions; infinite and undefined values are NULL."""
+    Returns date, code and the named expressions; infinite and undefined values are NULL, as are variables the panel lacks."""
     plan = Plan(outputs)
-    spark, df = panel.sparkSession, panel.select(*KEYS, *[c for c in plan.live(0) if c in panel.columns])
+    names = variables(outputs.values())
+    spark, df = panel.sparkSession, panel.select(*KEYS, *[c if c in panel.columns else F.lit(None).cast("double").alias(c) for c in sorted(names)])
     for k, (kind, nodes) in enumerate(plan.stages):
         keep = [c for c in plan.live(k + 1) if c in df.columns]
         if kind == FOLD:
@@ -481,6 +483,19 @@ def evaluate(panel: DataFrame, outputs: dict[str, E]) -> DataFrame:
     return spark.sql(f"SELECT date, code, {', '.join(f'{_finite(scalar(e))} AS {n}' for n, e in outputs.items())} FROM {{df}}", df=df)
 
 
+def variables(outputs: Iterable[E]) -> set[str]:
+    """Names of the panel's columns that the expressions read."""
+    seen, names, stack = set(), set(), list(outputs)
+    while stack:
+        e = stack.pop()
+        if e.key not in seen:
+            seen.add(e.key)
+            if e.op == "var":
+                names.add(e.args[0])
+            stack += _inputs(e)
+    return names
+
+
 def _finite(x: str) -> str:
     return f"CASE WHEN abs({x}) < 1e300 THEN {x} END"
 

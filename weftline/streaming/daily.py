@@ -10,21 +10,31 @@ from weftline.operators.store import upsert_rolloff
 
 
 def rolling_store(stream: DataFrame, path: str, checkpoint: str, key: list[str], keep_last: int) -> StreamingQuery:
-    """Each micro-batch overrides the store's rows with its key; the last keep_last values of the first key column stay.
-
-    Versions are written side by side and the newest complete one is read, so a batch that is run again gives the same store."""
+    """Each micro-batch overrides the store's rows with its key, of several rows with one key the last in the batch's order; the last
+    keep_last values of the first key column stay. Versions are written side by side and the newest complete one is read, so a batch
+    that is run again gives the same store; of older versions one stays for readers."""
 
     def upsert(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         old = read_store(spark, path, before=number)
-        rows = batch if old is None else upsert_rolloff(old, batch.dropDuplicates(key), key, keep_last)
-        if old is None:
-            rows = upsert_rolloff(batch.limit(0), batch.dropDuplicates(key), key, keep_last)
+        new = batch.withColumn("arrival", F.monotonically_increasing_id())
+        rows = upsert_rolloff(batch.limit(0) if old is None else old, new, key, keep_last, order=["arrival"]).drop("arrival")
         rows.write.mode("overwrite").parquet(f"{path}/version={number:012d}")
+        _drop_versions(spark, path, number)
 
     return stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _drop_versions(spark: SparkSession, path: str, number: int, stay: int = 2) -> None:
+    """Deletes all versions up to `number` but the newest `stay`."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(n for n in (s.getPath().getName() for s in fs.listStatus(root)) if n.startswith("version=") and int(n.partition("=")[2]) <= number)
+    for name in names[:-stay]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+
+
 def read_store(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
     """The newest complete version, or None."""
     jvm = spark.sparkContext._jvm
