@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from weftline.llm import line_dedup, ngram_join, queries, robust_quality, secret_scan
-from weftline.llm.common import written
+from weftline.llm.common import drop_written, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written to the shared folder and read by the next; a stage's table is deleted once the next one's is there.
+
+    Defined results: rows with a null doc_id or text go through all stages (a null text has no words, so quality rules reject it);
+    equal rows are near copies of each other, of which the ones with the least doc_id stay; an empty table gives no pieces; columns
+    that documents doesn't have usually are kept up to the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        made: list[str] = []
+        docs = written(stage(spark, docs, sf_dir), name, made)
+        drop_written(spark, before)
+        before = made
     return STAGES[-1][1](spark, docs, sf_dir)
