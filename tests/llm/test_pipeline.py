@@ -56,3 +56,29 @@ def test_stages_and_run(spark, tmp_path):
     check(frames["packing"].collect(), got)
     again = corpus_pipeline.run(spark, data).collect()
     check(again, got)
+
+
+def test_run_on_hostile_rows(spark, tmp_path):
+    """Null ids, texts and sources, empty and very long texts, repeated rows, near copies, and columns named as results are."""
+    words = [" ".join(f"w{(7 * i + k * (k % (i + 2))) % 900}" for k in range(80)) + "." for i in range(40)]
+    rows = [(i, w, "en", f"s{i % 3}", len(w), "kept", 1) for i, w in enumerate(words)]
+    rows += [(100, None, "en", "s0", None, "x", 1), (101, "", None, None, 0, "x", 1), (102, "word " * 40_000, "en", "s1", 200_000, "x", 1), (103, "\n" * 500, "de", "s1", 500, "x", 1)]
+    rows += [rows[3], rows[3], (None, words[5], "en", "s2", 1, "x", 1), (None, None, None, None, None, None, None), (200, words[6] + " tail", "en", "s0", 1, "x", 1)]
+    rows += [(201, words[7] + " token=abcdefgh12345678", "en", "s0", 1, "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string, length int")
+    df.write.parquet(f"{tmp_path}/a/documents.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/a").collect()
+    ids = [r.doc_id for r in got if r.start == 0]
+    assert 100 not in ids and 102 not in ids and 200 not in ids and len(ids) > 20  # null, repeated words, near copy of 6
+    assert 6 in ids and set(ids) <= set(range(40)) | {None, 201}
+    by_seq = {}
+    for r in got:
+        by_seq.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in by_seq.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    df.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
