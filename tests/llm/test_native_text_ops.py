@@ -169,3 +169,11 @@ def test_op4_learns_from_labels(spark, bad):
     rows = [f"the ordinary_words and identifiers stand here password={bad[i:]}{i}Zq81 thhationble" for i in range(12)]
     df = docs(spark, [*rows, f"unlabelled {bad[::-1]} stands alone"])
     assert "markov" in {r.doc_id: r.spans for r in secret_scan.digests(df).collect()}[12]
+
+
+def test_op7_group_names_are_unambiguous(spark):
+    """Null and empty languages, and names that look alike when joined, are groups of their own."""
+    f = spark.createDataFrame([("a:b", "c"), ("a", "b:c"), (None, ""), ("", None)], "lang string, source string")
+    own = robust_quality._OWN.format("g_lang", "g_source")
+    got = f.selectExpr(*own.split(", CASE")[:1], "CASE" + own.split(", CASE")[1]).selectExpr("concat('s:', length(g_lang), ':', g_lang, g_source) AS g").collect()
+    assert len({r.g for r in got}) == 4

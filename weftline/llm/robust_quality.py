@@ -78,6 +78,10 @@ def _int(x: str) -> str:
     return f"CAST(floor(1000 * ({x}) + 0.5) AS BIGINT)"
 
 
+#: Language and source as group values: null is one of its own.
+_OWN = "CASE WHEN lang IS NULL THEN '' ELSE concat('=', lang) END AS {}, CASE WHEN source IS NULL THEN '' ELSE concat('=', source) END AS {}"
+
+
 def _vector_sql(source: str) -> str:
     one = lambda x: f"CAST({x} AS DOUBLE)"
     stats = {
@@ -87,7 +91,7 @@ def _vector_sql(source: str) -> str:
         "x_rep": f"{one('n_repeat_words')} / greatest(n_words, 1)",
         "x_caps": f"{one('n_caps')} / greatest(word_chars, 1)",
     }
-    return f"SELECT row_key, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {', '.join(f'{_int(v)} AS {k}' for k, v in stats.items())} FROM {source}"
+    return f"SELECT row_key, {_OWN.format('lang', 'source')}, {', '.join(f'{_int(v)} AS {k}' for k, v in stats.items())} FROM {source}"
 
 
 def _pairs() -> list[tuple[int, int]]:
@@ -133,7 +137,7 @@ def _plan(grouped: str = "grouped", whole: bool = False) -> list[tuple[str, str]
     steps = [
         ("sizes", "SELECT lang, source, count(*) AS n FROM stat GROUP BY lang, source"),
         ("langs", "SELECT lang, sum(n) AS n FROM sizes GROUP BY lang"),
-        ("named", f"SELECT s.lang, s.source, CASE WHEN s.n >= {LEAST} THEN concat('s:', s.lang, ':', s.source) WHEN l.n >= {LEAST} THEN concat('l:', s.lang) ELSE 'all' END AS grp FROM sizes s JOIN langs l ON s.lang = l.lang"),
+        ("named", f"SELECT s.lang, s.source, CASE WHEN s.n >= {LEAST} THEN concat('s:', length(s.lang), ':', s.lang, s.source) WHEN l.n >= {LEAST} THEN concat('l:', s.lang) ELSE 'all' END AS grp FROM sizes s JOIN langs l ON s.lang = l.lang"),
         (grouped, f"SELECT g.row_key, n.grp, {x} FROM stat g JOIN named n ON g.lang = n.lang AND g.source = n.source"),
         ("plain", f"SELECT grp, 0 AS start, count(*) AS n, {_moments_sql()} FROM {grouped} GROUP BY grp"),
         ("p_plain", _estimate_sql("plain", "grp, start")),
@@ -202,7 +206,7 @@ def judge(docs: DataFrame, *carry: str, whole: bool = False) -> DataFrame:
     f = written(f, "quality")
     stat = _run(_vector_sql("feats"), {"feats": f.withColumn("row_key", F.lit(0))})
     made = estimates(stat, whole)
-    x = _run(_vector_sql("feats").replace("SELECT row_key", "SELECT *, 0 AS row_key").replace("coalesce(lang, '') AS lang, coalesce(source, '') AS source", "coalesce(lang, '') AS g_lang, coalesce(source, '') AS g_source"), {"feats": f})
+    x = _run(_vector_sql("feats").replace("SELECT row_key", "SELECT *, 0 AS row_key").replace(_OWN.format("lang", "source"), _OWN.format("g_lang", "g_source")), {"feats": f})
     params = {c: made["best"][c] for c in made["best"].columns if c not in ("grp", "start", "logdet")}
     named = made["named"].select(F.col("lang").alias("n_lang"), F.col("source").alias("n_source"), "grp").join(made["best"].select("grp", *params), "grp").join(made["scale"], "grp")
     joined = x.join(named, (x.g_lang == named.n_lang) & (x.g_source == named.n_source), "left")
