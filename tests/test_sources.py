@@ -35,3 +35,13 @@ def test_universe(spark):
     assert universe.rolling_union(m, "2024-01-05", "2024-01-31").count() == 1 and universe.latest_positions(m).count() == 1
     w = universe.month_weights(spark.createDataFrame([(d(2), "a", None, 3.0), (d(2), "b", None, 1.0), (d(3), "b", 9.0, 9.0)], "date date, code string, f double, c double"), F.col("f"), F.col("c"))
     assert {r.code: r.weight for r in w.collect()} == {"a": 0.75, "b": 0.25}
+
+
+def test_bars_over_a_long_holiday_and_after_the_calendar(spark):
+    c = cal.calendar(spark.createDataFrame([("2024-02-08",), ("2024-02-19",), ("2024-02-20",)], "date string"))
+    bars = spark.createDataFrame([(dt.date(2024, 2, d), "X", float(d)) for d in (1, 8, 17, 19, 20)] + [(dt.date(2044, 1, 1), "X", 44.0)], "date date, code string, close double")
+    got = {str(r.date): r.close for r in files.panel_from_bars(bars, c, "2024-02-08", "2024-02-12").collect()}
+    assert got == {"2024-02-08": 17.0}
+    late = {str(r.date): str(r.floor_date) for r in cal.floor_dates(bars, c, clip=False).collect()}
+    assert late["2044-01-01"] == "2024-02-20" and late["2024-02-01"] == "None" and late["2024-02-17"] == "2024-02-08"
+    assert files.panel_from_bars(bars, c, "2024-02-20", "2050-01-01").count() == 1

@@ -22,14 +22,17 @@ def weekdays(spark, start: str, end: str) -> DataFrame:
 def floor_dates(df: DataFrame, cal: DataFrame, col: str = "date", clip: bool = True) -> DataFrame:
     """Adds floor_date and ord: the last trading day on or before df's date; before the first one: the first (clip) or NULL.
 
-    The calendar becomes one row for each calendar day, so the as-of join is an equi-join on the date."""
-    first = cal.agg(F.min("date").alias("first_date"))
-    last = F.coalesce("next_date", F.date_add("date", 3650))
-    days = cal.select(F.col("date").alias("floor_date"), "ord", F.explode(F.sequence("date", F.date_sub(last, 1))).alias("any_date"))
-    out = df.join(days, F.to_date(df[col]) == days.any_date, "left").drop("any_date")
-    if not clip:
-        return out
-    return out.crossJoin(F.broadcast(first)).withColumn("ord", F.when(F.to_date(F.col(col)) < F.col("first_date"), F.lit(1)).otherwise(F.col("ord"))).withColumn("floor_date", F.when(F.to_date(F.col(col)) < F.col("first_date"), F.col("first_date")).otherwise(F.col("floor_date"))).drop("first_date")
+    The calendar becomes one row for each calendar day, so the as-of join is an equi-join on the date; dates after its last day are
+    told apart by that one day."""
+    ends = cal.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.max("ord").alias("last_ord"))
+    spans = cal.filter("next_date IS NOT NULL").select(F.col("date").alias("floor_date"), "ord", F.explode(F.sequence("date", F.date_sub("next_date", 1))).alias("any_date"))
+    asked = F.to_date(df[col])
+    out = df.join(spans, asked == spans.any_date, "left").drop("any_date").crossJoin(F.broadcast(ends))  # ends: one row
+    asked = F.to_date(F.col(col))
+    after, before = asked >= F.col("last_date"), (asked < F.col("first_date")) & F.lit(clip)
+    out = out.withColumn("ord", F.when(after, F.col("last_ord")).when(before, F.lit(1)).otherwise(F.col("ord")))
+    out = out.withColumn("floor_date", F.when(after, F.col("last_date")).when(before, F.col("first_date")).otherwise(F.col("floor_date")))
+    return out.drop("first_date", "last_date", "last_ord")
 
 
 def shift(df: DataFrame, cal: DataFrame, n: int, col: str = "date") -> DataFrame:

@@ -42,6 +42,9 @@ def vendor_bars(raw: DataFrame) -> DataFrame:
 
 def panel_from_bars(bars: DataFrame, cal: DataFrame, start: str, end: str, order: str = "close") -> DataFrame:
     """bars with dates floored to the calendar, clipped to the window; of rows with one date and code the last raw date stays."""
-    near = bars.filter(F.col("date").between(F.date_sub(F.lit(start).cast("date"), 5), F.date_add(F.lit(end).cast("date"), 5)))  # pruned on the raw date
+    # Flooring moves a date back, at most over the days up to the next trading day: rows outside that can be pruned on the raw date.
+    edge = cal.agg(F.min("date").alias("first"), F.max(F.when(F.col("date") <= F.lit(end).cast("date"), F.coalesce("next_date", F.lit("9999-12-31").cast("date")))).alias("after")).first()
+    near = bars if edge.first is None or str(edge.first) >= str(start) else bars.filter(F.col("date") >= F.lit(start).cast("date"))
+    near = near if edge.after is None else near.filter(F.col("date") < F.lit(edge.after))
     at = floor_dates(near, cal).withColumn("raw_date", F.col("date")).withColumn("date", F.col("floor_date")).drop("floor_date", "ord")
     return latest(at.filter(F.col("date").between(start, end)), ["date", "code"], ["raw_date", order]).drop("raw_date")
