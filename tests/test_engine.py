@@ -171,6 +171,29 @@ def test_orthogonalize(spark):
     assert abs(one.mean()) < 1e-6 and abs(np.corrcoef(one, d["size"])[0, 1]) < 0.05 and all(abs(one[d.ind == k].mean()) < 1e-6 for k in "ABC")
 
 
+def test_neutral_weights_hold_a_few_rows_and_reach_the_optimum():
+    """6,000 codes within 40 MB (the whole program as a matrix takes 4 GB); the weights of a small one are those of the whole program."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    n = 6000
+    expo = np.column_stack([rng.normal(size=n), *[(np.arange(n) % 5 == k).astype(float) for k in range(5)]])
+    tracemalloc.start()
+    w = portfolio.neutral_weights(rng.normal(size=n), expo, np.full(n, 1 / n), np.zeros(n))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6 and np.allclose(expo.T @ w, expo.mean(axis=0), atol=1e-8) and abs(w.sum() - 1) < 1e-8 and w.min() > -1e-9 and w.max() < 0.06 + 1e-9
+    n = 40
+    alpha, held, expo, bench = rng.normal(size=n), rng.dirichlet(np.ones(n)), expo[:n], np.full(n, 1 / n)
+    w = portfolio.neutral_weights(alpha, expo, bench, held)
+    eye, zero, rows = np.eye(n), np.zeros((n, n)), np.vstack([np.ones(n), expo.T])
+    a = np.block([[rows, np.zeros((len(rows), 4 * n))], [eye, zero, eye, zero, zero], [eye, -eye, zero, eye, zero], [-eye, -eye, zero, zero, eye]])
+    x = portfolio.linear_program(np.concatenate([-alpha, np.full(n, 0.0015), np.zeros(3 * n)]), a, np.concatenate([[1.0], expo.T @ bench, np.full(n, 0.06), held, -held]))
+    assert np.allclose(w, x[:n], atol=1e-4)
+    assert np.allclose(portfolio.neutral_weights(np.ones(1), np.ones((1, 1)), np.ones(1), np.zeros(1), max_weight=1.0), 1, atol=1e-8)
+    assert portfolio.bounded_program(np.ones(2), np.ones((2, 2)), np.array([1.0, 2.0]), np.ones(2)) is None
+
+
 def test_linear_program():
     x = portfolio.linear_program(np.array([-1.0, -2.0, 0, 0]), np.array([[1.0, 1, 1, 0], [1, 3, 0, 1]]), np.array([4.0, 6.0]))
     assert np.allclose(x, [3, 1, 0, 0], atol=1e-5)

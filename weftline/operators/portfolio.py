@@ -122,15 +122,70 @@ def linear_program(c: np.ndarray, a: np.ndarray, b: np.ndarray, tol: float = 1e-
     return None
 
 
+def bounded_program(c: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray, tol: float = 1e-9, steps: int = 100) -> np.ndarray | None:
+    """min c'x, a x = b, 0 <= x <= most (over 0) by a primal-dual interior point with predictor and corrector; None where it does not
+    settle. a has few rows; only they and some vectors are held, so memory and a step's time are in proportion to the columns."""
+    r = np.linalg.qr(a.T, mode="r")
+    keep = np.flatnonzero(np.abs(np.diag(r)) > 1e-10 * max(1.0, np.abs(r).max()))  # rows that depend on others are left out
+    if np.linalg.norm(np.linalg.lstsq(a[keep].T, a.T, rcond=None)[0].T @ b[keep] - b) > 1e-6 * (1 + np.linalg.norm(b)):
+        return None  # they contradict each other
+    a, b = a[keep], b[keep]
+
+    def solver(d: np.ndarray):
+        """f to y, where a diag(d) a' y = f. By QR of the root: near the solution few columns are free, and the product would be singular."""
+        root = (a * np.sqrt(d)).T
+        scale = 1 / np.maximum(np.linalg.norm(root, axis=0), 1e-150)
+        r = np.linalg.qr(np.vstack([root * scale, 1e-12 * np.eye(len(b))]), mode="r")
+        return lambda f: scale * np.linalg.solve(r, np.linalg.solve(r.T, scale * f))
+
+    x, v, y = most / 2, most / 2, solver(np.ones(len(c)))(a @ c)
+    left = c - a.T @ y
+    least = 0.1 * (1 + np.abs(left).max())
+    z, w = np.maximum(left, 0) + least, np.maximum(-left, 0) + least  # duals of x >= 0 and of x <= most
+    for _ in range(steps):
+        rp, rd, mu = b - a @ x, c - a.T @ y - z + w, (x @ z + v @ w) / (2 * len(c))
+        if np.linalg.norm(rp) < tol * (1 + np.linalg.norm(b)) and np.linalg.norm(rd) < tol * (1 + np.linalg.norm(c)) and x @ z + v @ w < tol * (1 + abs(c @ x)):
+            return x
+        d = 1 / (z / x + w / v)
+        inverse = solver(d)
+
+        def step(xz, vw):
+            g = rd - xz / x + vw / v  # noqa: B023
+            dy = inverse(rp + a @ (d * g))  # noqa: B023
+            dx = d * (a.T @ dy - g)  # noqa: B023
+            return dx, dy, (xz - z * dx) / x, (vw + w * dx) / v  # noqa: B023
+
+        def reach(*pairs):
+            return min([1.0, *(0.99 * float(np.min(-p[q < 0] / q[q < 0])) for p, q in pairs if (q < 0).any())])
+
+        dx, dy, dz, dw = step(-x * z, -v * w)
+        ax, az = reach((x, dx), (v, -dx)), reach((z, dz), (w, dw))
+        near = ((x + ax * dx) @ (z + az * dz) + (v - ax * dx) @ (w + az * dw)) / (2 * len(c))
+        aim = (near / mu) ** 3 * mu
+        dx, dy, dz, dw = step(aim - x * z - dx * dz, aim - v * w + dx * dw)
+        ax, az = reach((x, dx), (v, -dx)), reach((z, dz), (w, dw))
+        x, v, y, z, w = x + ax * dx, v - ax * dx, y + az * dy, z + az * dz, w + az * dw
+        if not (np.isfinite(x).all() and np.isfinite(z).all() and np.isfinite(w).all()):
+            return None
+    return None
+
+
 def neutral_weights(alpha: np.ndarray, exposures: np.ndarray, bench: np.ndarray, previous: np.ndarray, cost: float = 0.003, max_weight: float = 0.06) -> np.ndarray | None:
-    """Long-only weights: most alpha less trading cost, sum 1, the benchmark's exposures, at most max_weight each."""
+    """Long-only weights: most alpha less trading cost, sum 1, the benchmark's exposures, at most max_weight each. As trading costs, no code
+    is both bought and sold, so the program is over what is bought and what is sold of each, within bounds, and its few rows."""
     n = len(alpha)
-    eye, zero = np.eye(n), np.zeros((n, n))
     rows = np.vstack([np.ones(n), exposures.T])
-    a = np.block([[rows, np.zeros((len(rows), 4 * n))], [eye, zero, eye, zero, zero], [eye, -eye, zero, eye, zero], [-eye, -eye, zero, zero, eye]])
-    b = np.concatenate([[1.0], exposures.T @ bench, np.full(n, max_weight), previous, -previous])
-    x = linear_program(np.concatenate([-alpha, np.full(n, cost / 2), np.zeros(3 * n)]), a, b)
-    return None if x is None else x[:n]
+    base = np.clip(previous, 0, max_weight)  # what can't be held is sold first
+    total = np.concatenate([[1.0], exposures.T @ bench]) - rows @ base
+    more, less = np.flatnonzero(base < max_weight), np.flatnonzero(base > 0)
+    c = np.concatenate([cost / 2 - alpha[more], cost / 2 + alpha[less]])
+    x = bounded_program(c, np.hstack([rows[:, more], -rows[:, less]]), total, np.concatenate([max_weight - base[more], base[less]]))
+    if x is None:
+        return None
+    w = base.copy()
+    w[more] += x[: len(more)]
+    w[less] -= x[len(more) :]
+    return w
 
 
 def benchmark_neutral(data: DataFrame, styles: list[str], industry: str | None, top: int = 50, cost: float = 0.003, max_weight: float = 0.06) -> DataFrame:
